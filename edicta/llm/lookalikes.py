@@ -173,10 +173,15 @@ class Rewriter:
 
 
 def _suspects(rewrites: dict[str, str]) -> str:
-    """A pattern for texts that may change: any variant, as a character class where it is one code point."""
-    one = "".join(f"\\x{{{ord(s):x}}}" for s in rewrites if len(s) == 1)
-    more = [re.escape(s) for s in rewrites if len(s) > 1]
-    return "|".join([f"[{one}]"] * bool(one) + more) or "(?!)"
+    """One character class that every variant has a member of: its code points beyond ASCII, as ranges."""
+    codes = sorted({ord(x) for s in rewrites for x in (s if len(s) == 1 else [c for c in s if not c.isascii() and (_is_mark(c) or c == "º")] or s)})
+    ranges: list[list[int]] = []
+    for c in codes:
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]" if ranges else "(?!)"
 
 
 def rewrite(df: DataFrame, id_col: str, columns: list[str], rewrites: dict[str, str] | None = None) -> DataFrame:

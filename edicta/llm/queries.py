@@ -60,5 +60,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_column(not_exact(rows, "typed", names), "typed", names).select("row_key", F.col("canonical").alias("comuna_nombre"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p6_found, p6_unified, p7_found)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.truncation import truncated
+
+    return truncated(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(F.col("id").alias("doc_id"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.truncation import rates
+
+    return rates(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.incremental import duplicates
+
+    rows = table(spark, sf_dir, "providencia_records").select("record_id", "lote", "comuna", "numero", "fecha", "titulo", F.col("verification.sha256").alias("sha256"), "target_url")
+    return duplicates(rows, "lote", commune_names(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p4_found, p6_found, p6_unified, p7_found, p10_found, p10_rates)}
 ORACLE: dict[str, str] = {}
