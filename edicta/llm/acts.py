@@ -9,10 +9,6 @@ from edicta.functions.text import fold
 from edicta.llm.canonical import not_exact, resolve_column
 
 TYPES = "ordenanza(?: municipal| local)?|decreto(?: alcaldicio| exento)?|reglamento(?: municipal)?|resolucion(?: exenta)?|acuerdo"
-#: Words that come and go between copies of one title.
-LIGHT = "la|las|el|los|y|e|incluye"
-
-
 def number(c: Column) -> Column:
     """The number in any spelling ('Nº12', '12/2018', '0012', '1.078', 'Ord. 12') as an integer; null for none."""
     return F.try_to_number(F.nullif(F.regexp_replace(F.regexp_extract(c, r"^\D*?(\d{1,3}(?:\.\d{3})+|\d{1,9})", 1), r"\.", ""), F.lit("")), F.lit("999999999")).cast("int")
@@ -35,9 +31,9 @@ def date_parts(c: Column) -> Column:
 
 
 def title_key(folded: Column) -> Column:
-    """Letters and figures of a folded title, without the light words."""
+    """Letters and figures of a folded title; the article before a kind of act and 'e incluye' come and go between copies."""
     words = F.regexp_replace(folded, "[^a-z0-9]+", " ")
-    return F.trim(F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), rf" (?:(?:{LIGHT}) )+", " "))
+    return F.trim(F.replace(F.replace(words, F.lit(" e incluye "), F.lit(" y ")), F.lit(" la ordenanza "), F.lit(" ordenanza ")))
 
 
 VERBS = "aprueba(?: la)? ordenanza sobre|regula materias de|dicta medidas relativas a|fija texto refundido sobre|establece normas sobre|complementa reglamento de|actualiza procedimiento de|modifica(?: la)? ordenanza de|deroga disposiciones sobre|texto de la norma sobre|sobre|de"

@@ -72,6 +72,45 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.scan_noise import noise
+
+    return noise(table(spark, sf_dir, "ordenanzas"), "id", "texto_completo")
+
+
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as continuous readable paragraphs."""
+    from edicta.llm.scan_noise import repaired
+
+    return repaired(table(spark, sf_dir, "ordenanzas"), "id", "texto_completo")
+
+
+def subject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, title folded, place folded, declared) of both tables, without the records of p1_found."""
+    from edicta.functions.text import fold
+    from edicta.llm.residue import residue
+    from edicta.session import cut
+
+    empty = F.array().cast("array<string>")
+    a = table(spark, sf_dir, "ordenanzas").select(F.col("id").alias("key"), fold(F.col("titulo")).alias("title"), fold(F.col("comuna_nombre")).alias("place"), F.coalesce(F.filter(F.split("materia", " / "), lambda x: x != ""), empty).alias("declared"))
+    b = table(spark, sf_dir, "providencia_records").select(F.col("record_id").alias("key"), fold(F.col("titulo")).alias("title"), fold(F.col("comuna")).alias("place"), F.array_compact(F.array(F.coalesce(F.nullif(F.col("materia_id"), F.lit("")), F.nullif(F.col("materia"), F.lit(""))))).alias("declared"), host("source_listing_url").alias("source"))
+    b = cut(b, "titles")
+    found = residue(b, "key", "title", F.col("source"), folded=True).select(F.col("id").alias("key"))
+    return a.unionByName(b.drop("source").join(found, "key", "left_anti"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.subjects import subjects
+
+    areas = table(spark, sf_dir, "subject_areas").select(F.col("area_id").alias("area"))
+    return subjects(subject_rows(spark, sf_dir), areas).select(F.col("key").alias("row_key"), F.col("area").alias("area_id"))
+
+
+def p3_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by subject area; a document of several areas counts in each."""
+    return p3_found(spark, sf_dir).groupBy("area_id").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edicta.llm.incremental import duplicates
 
@@ -79,5 +118,24 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates(rows, "lote", commune_names(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p4_found, p6_found, p6_unified, p7_found, p10_found, p10_rates)}
+def act_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.linkage import attributes, linked
+    from edicta.session import cut
+
+    names = commune_names(spark, sf_dir)
+    left = attributes(table(spark, sf_dir, "ordenanzas"), "id", "comuna_nombre", "numero", "titulo", ["fecha_publicacion"], names)
+    right = attributes(table(spark, sf_dir, "providencia_records"), "record_id", "comuna", "numero", "titulo", ["fecha", "fecha_publicidad"], names)
+    return linked(cut(left, "left"), cut(right, "right"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return act_pairs(spark, sf_dir).select("id", F.col("rid").alias("record_id"))
+
+
+def p5_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs with their confidence."""
+    return act_pairs(spark, sf_dir).select("id", F.col("rid").alias("record_id"), F.round("confidence", 6).alias("confidence"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p2_found, p2_repaired, p3_found, p3_composition, p4_found, p5_found, p5_confidence, p6_found, p6_unified, p7_found, p10_found, p10_rates)}
 ORACLE: dict[str, str] = {}

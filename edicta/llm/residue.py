@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicta.functions.text import fold
+from edicta.session import cut
 
 #: Names of fields that templates hold (fixed values: the columns of the catalog and their usual shorter names).
 FIELDS = "titulo|titulo_doc|nombre|nombre_acto|nombre_archivo|denominacion|denominacion_acto|tipo|tipo_acto|materia|submateria|fecha|fecha_publicidad|fecha_publicacion|numero|num|nro|sector|comuna|municipalidad|region|descripcion|texto|contenido|autor|url|enlace|anio|ano|dia|mes|id|title|name|date|number|description|content|field|value"
@@ -24,7 +25,7 @@ PLACEHOLDERS = [
     rf"<(?:{FIELDS}|[a-z]+_[a-z_]+)>", rf"\{{(?:{FIELDS}|[a-z]+_[a-z_]+)\}}", rf"%(?:{FIELDS}|[a-z]+_[a-z_]+)%", rf"#(?:{FIELDS}|[a-z]+_[a-z_]+)#",
     rf"__(?:{FIELDS}|[a-z]+_[a-z_]+)__", rf"@@(?:{FIELDS}|[a-z]+_[a-z_]+)\b", r"_{4,}", r"\bx{4,}\b", r"\bxx[-/.]xx[-/.]\w{2,4}\b", r"\bdd[-/.]mm[-/.]a{2,4}\b",
     r"[\[(<](?:por |sin )?(?:completar|definir|rellenar|llenar|insertar|ingresar|indicar|escribir|agregar|nombre d|titulo d|numero d|fecha d|materia\b|texto aqui|\.\.\.)[^\])>]{0,60}[\])>]",
-    r"\[\.\.\.\]", r"&(?:nbsp|amp|quot|lt|gt);",
+    r"\[\.\.\.\]", r"\.{5,}", r"&(?:nbsp|amp|quot|lt|gt);",
 ]
 #: Messages of systems and filler, over the folded, masked core of a title (digits are 0).
 PHRASES = [
@@ -50,9 +51,13 @@ ACT = r"\b(?:aprueba|regula|dicta|fija|establece|complementa|actualiza|modifica|
 MIN_TIMES, MIN_SOURCES = 3, 2
 
 
-def masked(title: Column) -> Column:
-    """One spelling; addresses, dates and numbers as @, and 0."""
-    c = F.regexp_replace(fold(title), r"https?://\S+|www\.\S+|\S+@\S+\.\w+", "@")
+#: Only texts with such signs can hold a placeholder or filler; other texts that open as an act are none.
+SIGNS = r"[{}<>\[\]%#@$_&|\\?]|x{4}|xx[-/.]|dd[-/.]mm|\.{4}|\((?:por |sin )?(?:completar|definir|rellenar|llenar|insertar|ingresar|indicar|escribir|agregar|nombre|titulo|numero|fecha|materia|texto|\.)|ipsum|dolor|amet"
+
+
+def masked(folded: Column) -> Column:
+    """A folded title with addresses, dates and numbers as @, and 0."""
+    c = F.when(F.instr(folded, "@") + F.instr(folded, "://") + F.instr(folded, "www.") > 0, F.regexp_replace(folded, r"https?://\S+|www\.\S+|\S+@\S+\.\w+", "@")).otherwise(folded)
     c = F.regexp_replace(c, r"\b\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}\b", "0")
     return F.regexp_replace(c, r"\d+(?:[.,]\d+)*", "0")
 
@@ -64,15 +69,14 @@ def core(text: Column) -> Column:
     return F.trim(text)
 
 
-def grouped(df: DataFrame, id_col: str, title_col: str, source: Column) -> DataFrame:
-    """(hash, text, times, sources): the distinct masked texts over all sources."""
-    rows = df.select(masked(F.col(title_col)).alias("text"), F.xxhash64(source).alias("source")).where("text is not null and text != ''")
-    return rows.groupBy(F.md5("text").alias("hash")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("times"), F.approx_count_distinct("source", 0.1).alias("sources"))
+def grouped(rows: DataFrame) -> DataFrame:
+    """(hash, text, times, sources): the distinct masked texts over all sources. rows: text, source."""
+    return rows.where("text is not null and text != ''").groupBy(F.md5("text").alias("hash")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("times"), F.approx_count_distinct("source", 0.1).alias("sources"))
 
 
 def classified(texts: DataFrame) -> DataFrame:
-    """texts with `kind`: placeholder, message, filler, misspelt, or null for what is no residue."""
-    texts = texts.withColumn("core", core(F.col("text")))
+    """The texts that are not plain acts, with `kind`: placeholder, message, filler, or null."""
+    texts = texts.where(~F.col("text").rlike(ACT) | F.col("text").rlike(SIGNS)).withColumn("core", core(F.col("text")))
     filler = rf"\b(?:{FILLER})(?: (?:{FILLER})){{2,}}\b"
     kind = (
         F.when(F.col("text").rlike("|".join(PLACEHOLDERS)), "placeholder")
@@ -96,14 +100,13 @@ def with_misspelt(known: DataFrame) -> DataFrame:
     return known.withColumn("kind", F.when(F.col("kind").isNotNull(), F.col("kind")).when(~F.col("core").rlike(ACT) & (F.length("core") <= max(map(len, cores)) + 2) & near, "misspelt"))
 
 
-def residue(df: DataFrame, id_col: str, title_col: str, source: Column) -> DataFrame:
-    """(id, kind, times, sources) of the records whose title is or contains residue."""
-    from edicta.session import cut
-
-    known = cut(classified(grouped(df, id_col, title_col, source)).where(F.col("kind").isNotNull() | ~F.col("core").rlike(ACT)), "residue")
+def residue(df: DataFrame, id_col: str, title_col: str, source: Column, folded: bool = False) -> DataFrame:
+    """(id, kind, times, sources) of the records whose title is or contains residue. folded: the titles were folded before."""
+    title = F.col(title_col) if folded else fold(F.col(title_col))
+    rows = cut(df.select(F.col(id_col).alias("id"), masked(title).alias("text"), F.xxhash64(source).alias("source")), "masked")
+    known = cut(classified(grouped(rows)), "residue")
     found = with_misspelt(known).where("kind is not null").select("hash", "kind", "times", "sources")
-    rows = df.select(F.col(id_col).alias("id"), F.md5(masked(F.col(title_col))).alias("hash")).where("hash is not null")
-    return rows.join(found, "hash").select("id", "kind", "times", "sources")
+    return rows.select("id", F.md5("text").alias("hash")).where("hash is not null").join(found, "hash").select("id", "kind", "times", "sources")
 
 
 def without_residue(df: DataFrame, id_col: str, title_col: str, source: Column) -> DataFrame:

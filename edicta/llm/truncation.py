@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edicta.session import cut
+
 #: Neighbouring lengths on either side, least texts at a length, rate of false discoveries.
 REACH, LEAST, FDR = 40, 5, 0.001
 #: Marks that say the text goes on elsewhere (fixed values).
@@ -64,7 +66,7 @@ def significant_lengths(df: DataFrame, source: str = "source", text: str = "text
 
 def opening_shares(df: DataFrame, text: str = "text") -> DataFrame:
     """(opening, lines, unstopped): over all lines of the corpus, how often lines that open so end without a stop."""
-    lines = df.where(F.col(text).isNotNull()).select(F.explode(F.split(stripped(F.col(text)), "\n")).alias("line")).where("trim(line) != ''")
+    lines = df.where(F.col(text).isNotNull()).select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("trim(line) != ''")
     line = F.rtrim(F.col("line"))
     return lines.groupBy(opening(line).alias("opening")).agg(F.count(F.lit(1)).alias("lines"), F.count_if(~line.rlike(STOP)).alias("unstopped"))
 
@@ -72,8 +74,8 @@ def opening_shares(df: DataFrame, text: str = "text") -> DataFrame:
 def truncated(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """(id, source, length, at_limit, ending) of the documents whose text was cut; ending: damaged, continued, or open."""
     spikes = significant_lengths(df, source, text).select("source", "length", F.lit(True).alias("at_limit"))
-    docs = df.where(F.trim(F.col(text)) != "").select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.length(text).alias("length"), stripped(F.col(text)).alias("t"))
-    docs = docs.withColumn("last", F.rtrim(F.element_at(F.split("t", "\n"), -1))).drop("t")
+    docs = df.where(F.trim(F.col(text)) != "").select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.length(text).alias("length"), stripped(F.substring_index(F.regexp_replace(F.expr(f"right(`{text}`, 40000)"), r"\s+$", ""), "\n", -4)).alias("t"))
+    docs = docs.withColumn("last", F.rtrim(F.substring_index("t", "\n", -1))).drop("t")
     before = F.rtrim(F.regexp_replace("last", CONTINUES, ""))
     ending = (
         F.when(F.col("last").rlike(BROKEN), "damaged")
@@ -85,8 +87,16 @@ def truncated(df: DataFrame, doc_id: str = "doc_id", source: str = "source", tex
     docs = docs.join(F.broadcast(spikes), (docs.source.eqNullSafe(spikes.source)) & (docs.length == spikes.length), "left").select(docs["*"], F.coalesce("at_limit", F.lit(False)).alias("at_limit"))
     docs = docs.withColumn("opening", opening(F.col("last"))).withColumn("form", F.regexp_replace(F.regexp_replace("last", r"\d+(?:[.,/-]\d+)*", "0"), r"\p{Lu}\p{L}+", "X"))
     forms = docs.where("ending = 'open' and not at_limit").groupBy("form").agg(F.count(F.lit(1)).alias("same"))
-    docs = docs.join(opening_shares(df, text), "opening", "left").join(forms, "form", "left")
-    running = (F.col("unstopped") < 0.5 * F.col("lines")) | ((F.coalesce("lines", F.lit(0)) < 3) & F.col("last").rlike(r"(?:\p{Ll}[\p{Ll},]*\s+){6}"))
+    shares = cut(opening_shares(df, text), "openings")
+    first = F.regexp_extract("opening", r"^\S+", 0)
+    wider = shares.groupBy(first.alias("first")).agg(F.sum("lines").alias("lines1"), F.sum("unstopped").alias("unstopped1"))
+    docs = docs.withColumn("first", first).join(shares, "opening", "left").join(wider, "first", "left").join(forms, "form", "left")
+    # an opening seen on few lines is judged by its first word, a first word seen on few lines by the look of the line
+    running = (
+        F.when(F.col("lines") >= 8, F.col("unstopped") < 0.5 * F.col("lines"))
+        .when(F.col("lines1") >= 3, F.col("unstopped1") < 0.5 * F.col("lines1"))
+        .otherwise(F.col("last").rlike(r"(?:\p{Ll}[\p{Ll},]*\s+){6}"))
+    )
     # at a limit, a line of its own kind (signature, table) is whole only in a form that other texts end with
     keep = (
         F.col("ending").isin("damaged", "continued")
