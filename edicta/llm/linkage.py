@@ -80,7 +80,7 @@ def compared(left: DataFrame, right: DataFrame) -> DataFrame:
     """(id, rid, number, date, title, commune): agreement levels of the proposed pairs."""
     b = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
     both = pairs(left, right).join(left, "id").join(b, F.col("rid") == F.col("r_id"))
-    days = F.datediff(F.try_to_date(F.col("day"), F.lit("yyyy-MM-dd")), F.try_to_date(F.col("r_day"), F.lit("yyyy-MM-dd")))
+    days = F.datediff(F.col("day").try_cast("date"), F.col("r_day").try_cast("date"))
     precise = days.isNotNull() & ~F.coalesce(F.col("r_day").endswith("-01-01"), F.lit(False)) & ~F.coalesce(F.col("day").endswith("-01-01"), F.lit(False))
     gap = F.col("year") - F.col("r_year")
     date = (

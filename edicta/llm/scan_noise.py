@@ -108,20 +108,29 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
 
     some = [i for i in text if could(i)]
     looks = {i: shape(lines[i]) for i in some}
-    found: set[int] = set()
-    for i in some:
-        same = [j for j in some if _alike(looks[i], looks[j])]
-        if len(same) > 1 and max(same) - min(same) > 3 and (_stated(lines[i].strip()) or sum(j in edge for j in same) * 2 > len(same)):
-            found |= set(same)
-    for i in some:
-        s = lines[i].strip()
-        after = next((lines[j].strip() for j in text if j > i), "")
-        if i in edge and i not in found and (_stated(s) or len(s) < width - 16 and not after[:1].islower() and re.search(r"\d|[—·/]|copia|oficial|bolet|municip|archivo", s, re.I) and not TOKEN_END.search(s)):
-            if not found or any(_alike(looks[i], looks[j]) for j in found) or _stated(s):
+    found = {i for i in some if SET_APART.search(lines[i].strip())}
+    for _ in range(3):  # a header beside a header is at the page's edge as well
+        size = len(found)
+        edge |= {i for i in text if i - 1 in found or i + 1 in found}
+        for i in some:
+            if i in found:
+                continue
+            s = lines[i].strip()
+            same = [j for j in some if _alike(looks[i], looks[j])]
+            after = next((lines[j].strip() for j in text if j > i and j not in found), "")
+            if len(same) > 1 and max(same) - min(same) > 3 and (_stated(s) or sum(j in edge for j in same) * 2 >= len(same)):
+                found |= set(same)
+            elif _stated(s) or i in edge and len(s) < width - 8 and not after[:1].islower() and NAMED.search(shape(s)):
                 found.add(i)
+        if len(found) == size:
+            break
     return found
 
 
+#: Parts of a line set apart by signs or wide spaces, as headers have them.
+SET_APART = re.compile(r"\S {3,}\S|\S [—·|] \S|\S / \D+ / ")
+#: What headers of single pages name (fixed values, in the spelling of shape).
+NAMED = re.compile(r"boletin|boletln|boleten|arehlvo|eopla|ollelal|munlelpal|hoja|oelelna|^ordenanza n° #$")
 #: Words that no line ends with unless the sentence goes on.
 TOKEN_END = re.compile(r"\b(?:de|la|el|los|las|del|en|a|al|y|o|que|con|por|para|su|sus|un|una|se|lo|[$])$", re.I)
 

@@ -74,7 +74,7 @@ def opening_shares(df: DataFrame, text: str = "text") -> DataFrame:
 def truncated(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """(id, source, length, at_limit, ending) of the documents whose text was cut; ending: damaged, continued, or open."""
     spikes = significant_lengths(df, source, text).select("source", "length", F.lit(True).alias("at_limit"))
-    docs = df.where(F.trim(F.col(text)) != "").select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.length(text).alias("length"), stripped(F.substring_index(F.regexp_replace(F.expr(f"right(`{text}`, 40000)"), r"\s+$", ""), "\n", -4)).alias("t"))
+    docs = df.where(F.trim(F.col(text)) != "").select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.length(text).alias("length"), stripped(F.substring_index(F.rtrim(F.col(text), F.lit(" \n\t\r")), "\n", -4)).alias("t"))
     docs = docs.withColumn("last", F.rtrim(F.substring_index("t", "\n", -1))).drop("t")
     before = F.rtrim(F.regexp_replace("last", CONTINUES, ""))
     ending = (
