@@ -33,17 +33,18 @@ def subject_key(folded: Column) -> Column:
 
 
 def attributes(df: DataFrame, id_col: str, commune: str, num: str, title: str, dates: list[str], counts: dict[str, int]) -> DataFrame:
-    """(id, commune, num, day, month, year, s): dates are tried in order until one has a year."""
+    """(id, commune, num, day, month, year, late, s): dates are tried in order until one has a year; late: it was not the first."""
     folded = fold(F.col(title))
     parts = F.coalesce(*(F.when(d.getField("year").isNotNull(), d) for d in (acts.date_parts(F.col(x)) for x in dates)))
-    rows = df.select(F.col(id_col).alias("id"), F.col(commune).alias("typed"), acts.number(F.col(num)).alias("n"), folded.alias("t"), parts.alias("d"))
+    late = F.coalesce(acts.date_parts(F.col(dates[0])).getField("year").isNull(), F.lit(True))
+    rows = df.select(F.col(id_col).alias("id"), F.col(commune).alias("typed"), acts.number(F.col(num)).alias("n"), folded.alias("t"), parts.alias("d"), late.alias("late"))
     rows = acts.with_commune(rows, "typed", counts)
     s = subject_key(F.col("t"))
     place = F.trim(F.regexp_replace(F.regexp_replace(fold(F.col("typed")), "[^a-z0-9]+", " "), rf"\b(?:{LINKS}) ", ""))
     bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(fold(c), "[^a-z0-9]+", " "), rf"\b(?:{LINKS}) ", ""))
     named = (F.length(s) < 6) | (s == place) | (s == bare(F.col("commune"))) | (F.levenshtein(s, place, 3) >= 0) & (F.length(place) > 8)
     own = acts.title_number(F.col("t"))
-    return rows.select("id", "commune", F.coalesce("n", own).alias("num"), F.col("d.day").alias("day"), F.col("d.month").alias("month"), F.col("d.year").alias("year"), F.when(F.coalesce(named, F.length(s) < 6), F.lit("")).otherwise(s).alias("s"))
+    return rows.select("id", "commune", F.coalesce("n", own).alias("num"), F.col("d.day").alias("day"), F.col("d.month").alias("month"), F.col("d.year").alias("year"), "late", F.when(F.coalesce(named, F.length(s) < 6), F.lit("")).otherwise(s).alias("s"))
 
 
 def _blocks(published: bool) -> Column:
@@ -77,7 +78,7 @@ def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def compared(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(id, rid, number, date, title, commune): agreement levels of the proposed pairs."""
+    """(id, rid, number, date, title, commune, figures): agreement levels of the proposed pairs."""
     b = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
     both = pairs(left, right).join(left, "id").join(b, F.col("rid") == F.col("r_id"))
     days = F.datediff(F.col("day").try_cast("date"), F.col("r_day").try_cast("date"))
@@ -85,7 +86,7 @@ def compared(left: DataFrame, right: DataFrame) -> DataFrame:
     gap = F.col("year") - F.col("r_year")
     date = (
         F.when(gap.isNull(), "missing")
-        .when(precise, F.when(days.between(-2, MOST_DAYS), "near").otherwise("conflict"))
+        .when(precise, F.when(days.between(F.when(F.col("r_late"), -2 * MOST_DAYS).otherwise(-2), MOST_DAYS), "near").otherwise("conflict"))
         .when((gap == 0) | (gap == 1) & (F.substring(F.coalesce("month", F.lit("-01")), -2, 2) <= "03"), "year")
         .otherwise("conflict")
     )
@@ -94,7 +95,8 @@ def compared(left: DataFrame, right: DataFrame) -> DataFrame:
     title = F.when((F.col("s") == "") | (F.col("r_s") == ""), "absent").when(unlike <= 0.1, "same").when(unlike <= 0.25, "close").otherwise("differ")
     number = F.when(F.col("num").isNull() | F.col("r_num").isNull(), "missing").when(F.col("num") == F.col("r_num"), "equal").otherwise("differ")
     commune = F.when(F.col("commune").isNull() | F.col("r_commune").isNull(), "missing").when(F.col("commune") == F.col("r_commune"), "equal").otherwise("differ")
-    return both.select("id", "rid", number.alias("number"), date.alias("date"), title.alias("title"), commune.alias("commune")).where("commune != 'differ' and number != 'differ'")
+    figures = F.regexp_replace("s", "[^0-9]+", " ") == F.regexp_replace("r_s", "[^0-9]+", " ")
+    return both.select("id", "rid", number.alias("number"), date.alias("date"), title.alias("title"), commune.alias("commune"), figures.alias("figures")).where("commune != 'differ' and number != 'differ'")
 
 
 def estimate(patterns: list[tuple[dict[str, str], int]], rounds: int = 40) -> tuple[float, dict, dict]:
@@ -121,7 +123,8 @@ def posterior(pattern: dict[str, str], share: float, m: dict, u: dict) -> float:
 
 
 def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, rid, confidence) of the pairs whose posterior reaches the threshold."""
+    """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: without a number on both sides
+    the titles must be the same, figures included."""
     from edicta.session import cut
 
     levels = cut(compared(left, right), "levels")
@@ -130,4 +133,4 @@ def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> D
     share, m, u = estimate(patterns)
     scored = [(*(p[f] for f in fields), posterior(p, share, m, u)) for p, _ in patterns]
     table = levels.sparkSession.createDataFrame(scored, ", ".join(f"{f} string" for f in fields) + ", confidence double")
-    return levels.join(F.broadcast(table), fields).where(F.col("confidence") >= threshold).select("id", "rid", "confidence")
+    return levels.join(F.broadcast(table), fields).where((F.col("confidence") >= threshold) & ((F.col("number") == "equal") | (F.col("title") == "same") & F.col("figures"))).select("id", "rid", "confidence")

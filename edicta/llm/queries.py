@@ -60,6 +60,44 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_column(not_exact(rows, "typed", names), "typed", names).select("row_key", F.col("canonical").alias("comuna_nombre"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.encoding import encode
+
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by whether their ids decode to their text."""
+    from edicta.llm.encoding import decode
+
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = decode(p8_ids(spark, sf_dir)).select(F.col("doc_id").alias("d"), F.col("text").alias("back"))
+    same = F.coalesce("back", F.lit("")) == F.col("text")
+    return texts.join(back, texts.doc_id == back.d, "left").groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+def sized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, n_tokens) of the documents with text."""
+    from edicta.llm.encoding import token_counts
+    from edicta.session import cut
+
+    docs = table(spark, sf_dir, "documents")
+    counts = token_counts(docs.select("doc_id", "text"))
+    return cut(docs.select("doc_id", "source").join(counts, "doc_id"), "sized")
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.mixture import mixture
+
+    return mixture(sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from edicta.llm.mixture import shares
+
+    return shares(sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edicta.llm.truncation import truncated
 
@@ -137,5 +175,5 @@ def p5_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return act_pairs(spark, sf_dir).select("id", F.col("rid").alias("record_id"), F.round("confidence", 6).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p2_found, p2_repaired, p3_found, p3_composition, p4_found, p5_found, p5_confidence, p6_found, p6_unified, p7_found, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_catalog, p2_found, p2_repaired, p3_found, p3_composition, p4_found, p5_found, p5_confidence, p6_found, p6_unified, p7_found, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_rates)}
 ORACLE: dict[str, str] = {}
