@@ -52,7 +52,7 @@ def mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, total: float |
     found = {r.source: (r.docs, r.tokens) for r in rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens")).collect()}
     sizes = {s: t for s, (_, t) in found.items()}
     give = allotted(sizes, want, total if total is not None else sum(sizes.values()))
-    plan = [(s, *want[s], *found.get(s, (0, 0)), give[s], give[s] / sizes[s] if sizes.get(s) else 0.0, offset(s, seed)) for s in sorted(want)]
+    plan = [(s, *want[s], *found.get(s, (0, 0)), float(give[s]), give[s] / sizes[s] if sizes.get(s) else 0.0, offset(s, seed)) for s in sorted(want)]
     plan_df = spark.createDataFrame(plan, "source string, target_share double, max_repeats int, documents long, tokens long, wanted_tokens double, factor double, offset double")
     buckets = max(1, -(-max((n for n, _ in found.values()), default=1) // BUCKET_ROWS))
     # sums run over buckets by size, then documents by size: neighbours of the running sum are alike in size
