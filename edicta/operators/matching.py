@@ -43,7 +43,12 @@ def best_similar(left: DataFrame, left_col: str, right: DataFrame, right_col: st
     pieces = b.select("_b", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.substring(F.col("_b"), (i * size + 1).cast("int"), F.when(i == k - 1, F.length("_b")).otherwise(size).cast("int"))))).select("_b", F.col("pos").alias("_i"), F.col("col").alias("_p")).where("_p != ''")
     # every substring of a value that may be piece i of some name, by the lengths that pieces have
     lens = [r[0] for r in pieces.select(F.length("_p")).distinct().collect()]
-    subs = F.array_distinct(F.flatten(F.array(*(F.when(F.length("_a") >= n, F.transform(F.sequence(F.lit(1), F.length("_a") - n + 1), lambda i, n=n: F.substring(F.col("_a"), i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in lens)))) if lens else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+
+    def cut_out(n: int) -> Column:
+        return F.when(F.length("_a") >= n, F.transform(F.sequence(F.lit(1), F.length("_a") - n + 1), lambda i: F.substring(F.col("_a"), i, F.lit(n)))).otherwise(none)
+
+    subs = F.array_distinct(F.flatten(F.array(none, *map(cut_out, lens))))
     short = b.where(F.length("_b") <= most).select("_b", F.lit("").alias("_p"))
     grams = a.select("_a", F.explode(F.array_append(subs, F.lit(""))).alias("_p"))
     near = grams.join(sized(pieces.select("_b", "_p").union(short)), "_p").select("_a", "_b").distinct().withColumn("_d", F.levenshtein("_a", "_b", most)).where("_d >= 0")

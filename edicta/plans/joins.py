@@ -241,7 +241,7 @@ def missing_shards(t: Tables) -> DataFrame:
     return t.spark.range(1, 20).withColumnRenamed("id", "lote").join(have, "lote", "left_anti")
 
 
-@query("u8_overlap", "select cplt_code, len(list_intersect(list(distinct materia_id) filter (materia_id is not null), ['aseo_residuos', 'aseo'])) > 0 as waste from providencia_records where cplt_code is not null group by 1")
+@query("u8_overlap", "select cplt_code, coalesce(bool_or(materia_id in ('aseo_residuos', 'aseo')), false) as waste from providencia_records where cplt_code is not null group by 1")
 def overlap(t: Tables) -> DataFrame:
     """Whether the set of an organism's subjects meets a set of aliases; the set is bounded by the vocabulary."""
     wanted = F.array(F.lit("aseo_residuos"), F.lit("aseo"))
