@@ -152,7 +152,7 @@ def p3_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edicta.llm.incremental import duplicates
 
-    rows = table(spark, sf_dir, "providencia_records").select("record_id", "lote", "comuna", "numero", "fecha", "titulo", F.col("verification.sha256").alias("sha256"), "target_url")
+    rows = table(spark, sf_dir, "providencia_records").select("record_id", "lote", "comuna", "numero", "fecha", "fecha_publicidad", "titulo", F.col("verification.sha256").alias("sha256"), "target_url")
     return duplicates(rows, "lote", commune_names(spark, sf_dir))
 
 

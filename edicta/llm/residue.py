@@ -45,7 +45,7 @@ PHRASES = [
 FILLER = "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|tempor|incididunt|labore|dolore|magna|aliqua|nulla|pharetra|eiusmod|vestibulum|quis|nostrud|veniam|enim|vitae|pellentesque|donec|curabitur|mauris|fusce|aenean|integer|ultrices|volutpat|egestas"
 #: What pages put before and after a message.
 LEADING = r"^(?:(?:titulo|aviso|nota|atencion|mensaje|importante) ?: |\* ?|\[0\] ?|(?:ordenanzas|inicio|actos|documentos|portal) ?[»>|] ?|(?:ordenanza|decreto|resolucion|reglamento)(?: municipal| exento| exenta| alcaldicio)?(?: ?n?[°o.] ?(?:0|s/n))? ?[-:,.] )"
-TRAILING = r"(?: ?\| ?.{0,40}| ?[-–] ?(?:municipalidad|portal.{0,30}|ordenanzas|inicio|actos)| ?\(0\)| ?\.\.\.| ?…|[!.,;: ]+)$"
+TRAILING = r"(?: ?\| ?.{0,40}| ?[-–] ?(?:municipalidad|portal.{0,30}|ordenanzas|inicio|actos)| ?\(0\)| ?[·|-] ?ref\.? ?[0-9a-f]+| ?\.\.\.| ?…|[!.,;: ]+)$"
 #: Openings of acts: whatever follows, the text is an act and is not compared with messages.
 ACT = r"\b(?:aprueba|regula|dicta|fija|establece|complementa|actualiza|modifica|deroga|reemplaza|autoriza|otorga|declara|designa|rectifica|deja sin efecto|subvencion|nombra|delega|crea|prorroga)\b"
 MIN_TIMES, MIN_SOURCES = 3, 2
