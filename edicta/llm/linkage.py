@@ -123,8 +123,8 @@ def posterior(pattern: dict[str, str], share: float, m: dict, u: dict) -> float:
 
 
 def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: without a number on both sides
-    the titles must be the same, figures included."""
+    """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: dates must not
+    contradict, and without a number on both sides the titles must be the same, figures included."""
     from edicta.session import cut
 
     levels = cut(compared(left, right), "levels")
@@ -133,4 +133,4 @@ def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> D
     share, m, u = estimate(patterns)
     scored = [(*(p[f] for f in fields), posterior(p, share, m, u)) for p, _ in patterns]
     table = levels.sparkSession.createDataFrame(scored, ", ".join(f"{f} string" for f in fields) + ", confidence double")
-    return levels.join(F.broadcast(table), fields).where((F.col("confidence") >= threshold) & ((F.col("number") == "equal") | (F.col("title") == "same") & F.col("figures"))).select("id", "rid", "confidence")
+    return levels.join(F.broadcast(table), fields).where((F.col("confidence") >= threshold) & (F.col("date") != "conflict") & ((F.col("number") == "equal") | (F.col("title") == "same") & F.col("figures"))).select("id", "rid", "confidence")

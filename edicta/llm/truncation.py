@@ -45,7 +45,9 @@ def opening(line: Column) -> Column:
 
 def significant_lengths(df: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """(source, length, n, expected, p): the lengths at which more texts of a source end than its neighbouring lengths let expect."""
-    lengths = df.where(F.trim(F.col(text)) != "").groupBy(F.col(source).alias("source"), F.length(text).alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    # exact copies of a text count once: they share its length without any limit
+    texts = df.where(F.trim(F.col(text)) != "").select(F.col(source).alias("source"), F.length(text).alias("length"), F.xxhash64(text).alias("h")).distinct()
+    lengths = texts.groupBy("source", "length").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("source").orderBy("length")
     near = by.rangeBetween(-REACH, REACH)
     tested = (
