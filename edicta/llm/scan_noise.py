@@ -109,6 +109,11 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
     some = [i for i in text if could(i)]
     looks = {i: shape(lines[i]) for i in some}
     found = {i for i in some if SET_APART.search(lines[i].strip())}
+    wrap = sorted(len(lines[i].rstrip()) for i in text)[int(0.8 * len(text))] if text else 0
+    for a, i, b in zip(text, text[1:], text[2:], strict=False):  # a line that a sentence runs past, too short to have been wrapped there
+        before, after = lines[a].rstrip(), lines[b].strip()
+        if i in looks and NAMED.search(looks[i]) and before[-1:] not in ".:;" and after[:1].islower() and len(lines[i].strip()) + 1 + len(after.split()[0]) < wrap - 2:
+            found.add(i)
     for _ in range(3):  # a header beside a header is at the page's edge as well
         size = len(found)
         edge |= {i for i in text if i - 1 in found or i + 1 in found}
