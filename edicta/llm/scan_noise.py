@@ -80,18 +80,19 @@ def page_numbers(lines: list[str]) -> set[int]:
     found = {i for i, x in enumerate(lines) if PAGE.fullmatch(x.strip()) or ROMAN.fullmatch(x.strip())}
     bare = [(i, int(x.strip())) for i, x in enumerate(lines) if re.fullmatch(r"\d{1,4}", x.strip())]
     at = {i for i, _ in bare}
-    alone = {i for i in at if i - 1 not in at and i + 1 not in at}
-    best: list[int] = []
-    for k, (i, n) in enumerate(bare):  # the longest run of pages one after another that begins here
-        run, want = [i], n + 1
-        for j, m in bare[k + 1 :]:
-            if m == want and j - run[-1] > 2:
-                run.append(j)
-                want += 1
-        if any(x in alone for x in run) and (len(run), sum(x in alone for x in run)) > (len(best), sum(x in alone for x in best)):
-            best = run
-    if len(best) == 1 and (len(bare) > 2 or best[0] not in alone):
-        best = [i for i in best if i in alone and (i < 2 or i >= len(lines) - 2)]
+    alone = [(i, n) for i, n in bare if i - 1 not in at and i + 1 not in at]
+    # figures of tables stand together; pages rise by one, or by a few where a number was lost
+    chains: list[tuple[int, int, list[int]]] = []
+    for i, n in alone:
+        length, steps, chain = max(((c[0] + 1, c[1] - (n - m), [*c[2], i]) for c, (j, m) in zip(chains, alone, strict=False) if 1 <= n - m <= 4 and i - j >= 2), default=(1, 0, [i]), key=lambda c: c[:2])
+        chains.append((length, steps, chain))
+    best = max(chains, default=(0, 0, []), key=lambda c: c[:2])[2]
+    if len(found) > 1 and len(best) < 3:  # the text numbers its pages in another notation
+        best = []
+    if len(best) == 1:
+        i = best[0]
+        near = any(i != j and abs(i - j) <= 6 for j in at)
+        best = [] if near or int(lines[i].strip()) > 60 else best
     return found | set(best)
 
 
