@@ -1,7 +1,7 @@
 """Mapping free-entered values to a canonical list (problem 7).
 
-A symmetric-delete dictionary over the reference's keys is broadcast (the reference is a small table by contract, checked against
-MAX_REFERENCE); a value's key is looked up within a bounded edit distance, candidates are ranked by weighted Damerau-Levenshtein
+A symmetric-delete dictionary over the reference's keys is broadcast where a count proves the reference small (MAX_REFERENCE names);
+a larger one is met by an equality join on the same deletes, with the same result. A value's key is looked up within a bounded edit distance, candidates are ranked by weighted Damerau-Levenshtein
 distance, then by how often the reference name itself occurs. Values that name nothing are reported with the empty string.
 
 Defined cases: null values give null and no report; empty or blank values and values that only hold signs name nothing; ties of
@@ -124,7 +124,7 @@ def reference_counts(reference: DataFrame, name_col: str, *typed: tuple[DataFram
     names = reference.select(F.col(name_col).alias("name")).where("name is not null").distinct()
     found = names.limit(MAX_REFERENCE + 1).collect()
     if len(found) > MAX_REFERENCE:
-        raise ValueError(f"the reference list has over {MAX_REFERENCE} names")
+        raise ValueError(f"over {MAX_REFERENCE} names: use resolve_joined")
     counts = {r.name: 0 for r in found}
     for df, col in typed:
         seen = df.select(F.col(col).alias("name")).join(F.broadcast(names), "name", "left_semi").groupBy("name").count()
@@ -151,3 +151,28 @@ def not_exact(df: DataFrame, col: str, counts: dict[str, int]) -> DataFrame:
     """The rows whose non-null value is not exactly a name of the reference."""
     names = df.sparkSession.createDataFrame([(n,) for n in counts], "_name string")
     return df.where(F.col(col).isNotNull()).join(F.broadcast(names), F.col(col) == F.col("_name"), "left_anti")
+
+
+def resolve_joined(df: DataFrame, col: str, reference: DataFrame, name_col: str, out: str = "canonical", most: int = MAX_EDITS) -> DataFrame:
+    """resolve_column for references of any size: distinct values and names meet in an equality join on their deletes. Names are as
+    frequent as they occur in col."""
+    typed = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("times"))
+    names = reference.select(F.col(name_col).alias("name")).where("name is not null").distinct()
+    names = names.join(typed, F.col("name") == F.col("v"), "left").select("name", F.coalesce("times", F.lit(0)).alias("times"))
+
+    @F.pandas_udf("struct<k: string, d: array<string>>")
+    def keyed(s: pd.Series) -> pd.DataFrame:
+        ks = s.map(key)
+        return pd.DataFrame({"k": ks, "d": ks.map(lambda k: sorted(deletes(k, most)) if 0 < len(k) <= 60 else [k])})
+
+    @F.pandas_udf("double")
+    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([weighted_distance(x, y, min(most, max(1, len(x) // 4))) for x, y in zip(a, b, strict=True)])
+
+    left = typed.select("v", keyed("v").alias("e")).select("v", F.col("e.k").alias("k"), F.explode("e.d").alias("d")).where("k != ''")
+    right = names.select("name", "times", keyed("name").alias("e")).select("name", "times", F.col("e.k").alias("nk"), F.explode("e.d").alias("d"))
+    both = left.join(right, "d").select("v", "k", "name", "nk", "times").distinct().withColumn("w", distance("k", "nk"))
+    near = both.where(F.col("w") <= F.least(F.lit(float(most)), F.greatest(F.lit(1.0), F.floor(F.length("k") / 4))))
+    best = near.groupBy("v").agg(F.min_by("name", F.struct(F.when(F.col("v") == F.col("name"), -1.0).otherwise(F.col("w")), -F.col("times"), "name")).alias("_to"))
+    joined = df.join(best, F.col(col) == F.col("v"), "left").drop("v")
+    return joined.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_to", F.lit("")))).drop("_to")

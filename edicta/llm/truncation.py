@@ -58,12 +58,12 @@ def significant_lengths(df: DataFrame, source: str = "source", text: str = "text
         .withColumn("expected", (F.col("ended") + 1) / (2.0 * REACH) * (F.col("at_risk") / F.col("first")))
         .withColumn("p", F.when(F.col("n") > F.col("expected"), F.exp(-(F.col("n") * F.log(F.col("n") / F.col("expected")) - F.col("n") + F.col("expected")))).otherwise(1.0))
     )
-    m = tested.agg(F.count(F.lit(1)).alias("m"))
-    # only candidates are ranked: p below FDR is needed for any to pass, and those are few
+    tested = cut(tested.select("source", "length", "n", "expected", "p"), "hazards")
+    m = tested.count()
+    # a p above FDR cannot pass at any rank; the few below it are ranked together
     ranked = tested.where(f"p <= {FDR} and n >= {LEAST}").withColumn("rank", F.row_number().over(Window.orderBy("p", "source", "length")))
-    passed = ranked.crossJoin(F.broadcast(m)).withColumn("ok", F.col("p") <= FDR * F.col("rank") / F.col("m"))
-    last = passed.where("ok").agg(F.max("rank").alias("last"))
-    return passed.crossJoin(F.broadcast(last)).where("rank <= last").select("source", "length", "n", "expected", "p")
+    last = ranked.where(F.col("p") <= FDR * F.col("rank") / F.lit(float(max(m, 1)))).agg(F.max("rank")).first()[0] or 0
+    return ranked.where(F.col("rank") <= last).select("source", "length", "n", "expected", "p")
 
 
 def opening_shares(df: DataFrame, text: str = "text") -> DataFrame:

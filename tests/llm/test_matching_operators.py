@@ -53,6 +53,15 @@ def test_resolve_column(spark):
     assert [r.canonical for r in canonical.resolve_column(df, "c", {}).where("id = 2").collect()] == [None]
 
 
+def test_joined_gives_what_the_dictionary_gives(spark):
+    typed = ["SAN PEDRO", None, "San Pedro", "nada", "oClotucahe", "Los L0nmapu1li", "", "Ñuñomr", "San Pedro", "villa-alta", "x" * 5000]
+    df = spark.createDataFrame(list(enumerate(typed)), "id long, c string").withColumn("d", F.lit("clash"))
+    ref = spark.createDataFrame([(n,) for n in NAMES] + [(None,)], "comuna_nombre string")
+    a = canonical.resolve_column(df, "c", canonical.reference_counts(ref, "comuna_nombre", (df, "c")))
+    b = canonical.resolve_joined(df, "c", ref, "comuna_nombre")
+    assert [(r.id, r.canonical) for r in a.orderBy("id").collect()] == [(r.id, r.canonical) for r in b.orderBy("id").collect()]
+
+
 # -- attributes of acts
 
 
