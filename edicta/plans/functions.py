@@ -136,14 +136,14 @@ def intents(t: Tables) -> DataFrame:
 CONTRACT = [("status", "coalesce(verification.status = 'verified', false)"), ("http", "coalesce(verification.http_status < 400, false)"), ("hash", "coalesce(length(verification.sha256) = 64, false)"), ("bytes", "coalesce(verification.bytes > 0, false)"), ("target_https", "coalesce(starts_with(target_url, 'https://'), false)"), ("listing_https", "coalesce(starts_with(source_listing_url, 'https://'), false)"), ("source", "coalesce(fuente is not null, false)")]
 
 
-@query("p7_contract", "select violation, count(*) as records from (" + " union all ".join(f"select '{n}' as violation from providencia_records where not ({p})" for n, p in CONTRACT) + ") group by 1")
+@query("pred7_contract", "select violation, count(*) as records from (" + " union all ".join(f"select '{n}' as violation from providencia_records where not ({p})" for n, p in CONTRACT) + ") group by 1")
 def contract(t: Tables) -> DataFrame:
     """Every predicate of a row contract checked in one pass; a record counts for each it fails."""
     fails = F.array_compact(F.array(*(F.when(~F.expr(p.replace("starts_with", "startswith")), n) for n, p in CONTRACT)))
     return t.providencia_records.select(F.explode(fails).alias("violation")).groupBy("violation").agg(F.count(F.lit(1)).alias("records"))
 
 
-@query("p10_first_reason", "select coalesce(case when titulo is null then 'no title' when length(titulo) < 12 then 'short' when regexp_matches(titulo, '(?i)manual|formulario') then 'form' when regexp_matches(titulo, '(?i)copia') then 'copy' end, 'kept') as reason, count(*) as n from providencia_records group by 1")
+@query("pred10_first_reason", "select coalesce(case when titulo is null then 'no title' when length(titulo) < 12 then 'short' when regexp_matches(titulo, '(?i)manual|formulario') then 'form' when regexp_matches(titulo, '(?i)copia') then 'copy' end, 'kept') as reason, count(*) as n from providencia_records group by 1")
 def first_reason(t: Tables) -> DataFrame:
     """Ordered rules: the first that matches is the reason of quarantine."""
     c = F.col("titulo")
@@ -151,14 +151,14 @@ def first_reason(t: Tables) -> DataFrame:
     return t.providencia_records.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("p11_recency_variants", r"""select count(*) filter (regexp_matches(fecha, '^202[1-6]')) as by_prefix, count(*) filter (try_cast(nullif(regexp_extract(fecha, '((?:19|20)\d{2})', 1), '') as int) between 2021 and 2026) as by_year, count(*) filter (fecha >= '2021-01-01') as by_text from providencia_records""")
+@query("pred11_recency_variants", r"""select count(*) filter (regexp_matches(fecha, '^202[1-6]')) as by_prefix, count(*) filter (try_cast(nullif(regexp_extract(fecha, '((?:19|20)\d{2})', 1), '') as int) between 2021 and 2026) as by_year, count(*) filter (fecha >= '2021-01-01') as by_text from providencia_records""")
 def recency_variants(t: Tables) -> DataFrame:
     """Three readings of 'recent': only the year's is sound where dates are text of any precision."""
     c = F.col("fecha")
     return t.providencia_records.agg(F.count_if(c.rlike("^202[1-6]")).alias("by_prefix"), F.count_if(dates.recent(c)).alias("by_year"), F.count_if(c >= "2021-01-01").alias("by_text"))
 
 
-@query("p12_composite_gap", """
+@query("pred12_composite_gap", """
 with g as (select comuna_nombre as c, count(*) as national from ordenanzas group by 1), p as (select comuna as c, count(*) as municipal, count(*) filter (try_cast(nullif(regexp_extract(fecha, '((?:19|20)[0-9]{2})', 1), '') as int) between 2021 and 2026) as recent from providencia_records group by 1)
 select g.c as comuna from g left join p on p.c = g.c where g.national >= 15 and coalesce(p.municipal, 0) <= 60 and coalesce(p.recent, 0) <= 20""")
 def composite_gap(t: Tables) -> DataFrame:
@@ -167,18 +167,18 @@ def composite_gap(t: Tables) -> DataFrame:
     return g.join(p, "comuna", "left").where("national >= 15 and coalesce(municipal, 0) <= 60 and coalesce(recent, 0) <= 20").select("comuna")
 
 
-@query("p13_synthetic_dates", r"select record_id from providencia_records where fecha like '%-01-01' or try_cast(nullif(regexp_extract(fecha, '((?:19|20)\d{2})', 1), '') as int) > 2029")
+@query("pred13_synthetic_dates", r"select record_id from providencia_records where fecha like '%-01-01' or try_cast(nullif(regexp_extract(fecha, '((?:19|20)\d{2})', 1), '') as int) > 2029")
 def synthetic_dates(t: Tables) -> DataFrame:
     return t.providencia_records.where(dates.synthetic(F.col("fecha"))).select("record_id")
 
 
-@query("p14_integrity", r"""select count(*) filter (starts_with(target_url, 'http://')) as plain_http, count(*) filter (not regexp_matches(verification.sha256, '^[0-9a-f]{64}$')) as bad_hash, count(*) filter (regexp_matches(titulo, '[\w.]+@[\w.]+\.\w+')) as mail, count(*) filter (contains(target_url, ' ')) as spaces from providencia_records""")
+@query("pred14_integrity", r"""select count(*) filter (starts_with(target_url, 'http://')) as plain_http, count(*) filter (not regexp_matches(verification.sha256, '^[0-9a-f]{64}$')) as bad_hash, count(*) filter (regexp_matches(titulo, '[\w.]+@[\w.]+\.\w+')) as mail, count(*) filter (contains(target_url, ' ')) as spaces from providencia_records""")
 def integrity(t: Tables) -> DataFrame:
     p = t.providencia_records
     return p.agg(F.count_if(F.startswith("target_url", F.lit("http://"))).alias("plain_http"), F.count_if(~F.col("verification.sha256").rlike("^[0-9a-f]{64}$")).alias("bad_hash"), F.count_if(F.col("titulo").rlike(r"[\w.]+@[\w.]+\.\w+")).alias("mail"), F.count_if(F.contains("target_url", F.lit(" "))).alias("spaces"))
 
 
-@query("p20_identity_gate", r"""
+@query("pred20_identity_gate", r"""
 with x as (select p.record_id, list_filter(string_split(trim(regexp_replace(strip_accents(lower(p.comuna)), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) >= 4) as w, strip_accents(lower(p.titulo || ' ' || coalesce(p.descripcion, ''))) as t from providencia_records p where comuna is not null and titulo is not null)
 select record_id from x where len(w) > 0 and len(list_filter(w, lambda v: not contains(t, v))) = 0""")
 def identity_gate(t: Tables) -> DataFrame:
@@ -188,20 +188,20 @@ def identity_gate(t: Tables) -> DataFrame:
     return p.where((F.size("w") > 0) & F.forall("w", lambda v: F.contains(F.col("t"), v))).select("record_id")
 
 
-@query("p21_shards", "select (record_id % 7)::int as shard, count(*) as n, sum(record_id)::bigint as checksum from providencia_records group by 1")
+@query("pred21_shards", "select (record_id % 7)::int as shard, count(*) as n, sum(record_id)::bigint as checksum from providencia_records group by 1")
 def shards(t: Tables) -> DataFrame:
     """Rows by shard, as a modulo of the id would send them."""
     return t.providencia_records.groupBy(F.pmod("record_id", F.lit(7)).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("n"), F.sum("record_id").alias("checksum"))
 
 
-@query("p23_portal_types", "select record_id, case when contains(target_url, '/firma/') then 'signature' when contains(target_url, 'ver.php') then 'viewer' when contains(target_url, '/documentos/') then 'folder' when contains(target_url, 'Archivos') then 'archive' else 'other' end as portal from providencia_records")
+@query("pred23_portal_types", "select record_id, case when contains(target_url, '/firma/') then 'signature' when contains(target_url, 'ver.php') then 'viewer' when contains(target_url, '/documentos/') then 'folder' when contains(target_url, 'Archivos') then 'archive' else 'other' end as portal from providencia_records")
 def portal_types(t: Tables) -> DataFrame:
     c = F.col("target_url")
     portal = F.when(c.contains("/firma/"), "signature").when(c.contains("ver.php"), "viewer").when(c.contains("/documentos/"), "folder").when(c.contains("Archivos"), "archive").otherwise("other")
     return t.providencia_records.select("record_id", portal.alias("portal"))
 
 
-@query("p26_https", "select record_id, regexp_replace(target_url, '^http://', 'https://') as url from providencia_records where starts_with(target_url, 'http://')")
+@query("pred26_https", "select record_id, regexp_replace(target_url, '^http://', 'https://') as url from providencia_records where starts_with(target_url, 'http://')")
 def https(t: Tables) -> DataFrame:
     p = t.providencia_records.where(F.startswith("target_url", F.lit("http://")))
     return p.select("record_id", urls.to_https(F.col("target_url")).alias("url"))
