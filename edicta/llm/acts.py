@@ -52,3 +52,19 @@ def with_commune(df: DataFrame, col: str, counts: dict[str, int], out: str = "co
     known = df.join(F.broadcast(exact), F.col(col) == F.col("_name"), "left_semi").withColumn(out, F.col(col))
     typed = resolve_column(not_exact(df, col, counts), col, counts, out).withColumn(out, F.nullif(F.col(out), F.lit("")))
     return known.unionByName(typed).unionByName(df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast("string")))
+
+
+def block(kind: str, *parts: Column | str) -> Column:
+    """Hash of a blocking key; null where a part is missing."""
+    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+    some = F.lit(True)
+    for c in cols:
+        some &= c.isNotNull()
+    return F.when(some, F.xxhash64(F.lit(kind), *cols))
+
+
+def one_sided(kind: str, missing: Column, left: bool, *parts: Column | str) -> list[Column]:
+    """Two keys by which rows meet only if one of them lacks something: a row that lacks it meets every row of the other side, a row that
+    has it those that lack it. Rows that both have it are left to a sharper key, and do not crowd this one."""
+    own, other = (f"{kind}0", f"{kind}1") if left else (f"{kind}1", f"{kind}0")
+    return [F.when(missing, block(own, *parts)), block(other, *parts)]

@@ -47,27 +47,22 @@ def attributes(df: DataFrame, id_col: str, commune: str, num: str, title: str, d
     return rows.select("id", "commune", F.coalesce("n", own).alias("num"), F.col("d.day").alias("day"), F.col("d.month").alias("month"), F.col("d.year").alias("year"), "late", F.when(F.coalesce(named, F.length(s) < 6), F.lit("")).otherwise(s).alias("s"))
 
 
-def _blocks(published: bool) -> Column:
-    """Keys of the passes. A publication early in the year also meets acts of the year before."""
-    years = F.when(F.lit(published) & (F.substring(F.coalesce("month", F.lit("-03")), -2, 2) <= "03"), F.array("year", F.col("year") - 1)).otherwise(F.array("year"))
+def _blocks(left: bool) -> Column:
+    """Keys of the passes. A publication early in the year also meets acts of the year before. The sharp key is commune, number and
+    year; the others serve pairs where one side lacks a year, a number or the commune."""
+    years = F.when(F.lit(left) & (F.substring(F.coalesce("month", F.lit("-03")), -2, 2) <= "03"), F.array("year", F.col("year") - 1)).otherwise(F.array("year"))
+    text = F.when(F.length("s") >= 12, F.col("s"))
+    sharp = F.transform(years, lambda y: acts.block("n", F.col("commune"), F.col("num"), y))
+    no_num = F.col("num").isNull()
+    keys = [*acts.one_sided("y", F.col("year").isNull(), left, "commune", "num"), *acts.one_sided("d", no_num, left, "commune", "day"), *acts.one_sided("t", F.col("commune").isNull(), left, "num", text)]
+    ends = []
+    for kind, part in (("a", F.substring(text, 1, 10)), ("z", F.substring(text, -10, 10))):
+        ends += [_yearly(years, kind, part, no_num, left, k) for k in (0, 1)]
+    return F.array_distinct(F.array_compact(F.concat(sharp, F.array(*keys), *ends)))
 
-    def key(kind: str, *parts: Column | str) -> Column:
-        cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-        some = F.lit(True)
-        for c in cols:
-            some &= c.isNotNull()
-        return F.when(some, F.xxhash64(F.lit(kind), *cols))
 
-    text = F.when(F.length("s") >= 12, F.col("s"))
-    dated = lambda kind, part: F.transform(years, lambda y: F.when(y.isNotNull() & F.col("commune").isNotNull() & part.isNotNull(), F.xxhash64(F.lit(kind), F.col("commune"), y, part)))
-    return F.array_distinct(
-        F.array_compact(
-            F.concat(
-                F.array(key("n", "commune", "num"), key("d", "commune", "day"), key("t", "num", text)),
-                dated("a", F.substring(text, 1, 10)), dated("z", F.substring(text, -10, 10)),
-            )
-        )
-    )
+def _yearly(years: Column, kind: str, part: Column, missing: Column, left: bool, k: int) -> Column:
+    return F.transform(years, lambda y: acts.one_sided(kind, missing, left, F.col("commune"), y, part)[k])
 
 
 def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -91,7 +86,10 @@ def compared(left: DataFrame, right: DataFrame) -> DataFrame:
         .otherwise("conflict")
     )
     longest = F.greatest(F.length("s"), F.length("r_s"))
-    unlike = F.levenshtein("s", "r_s") / longest
+    # a misspelt opening stays before the subject: the shorter text is also compared with the end of the longer one
+    n = F.least(F.length("s"), F.length("r_s"))
+    ends = F.levenshtein(F.expr("right(s, least(length(s), length(r_s)))"), F.expr("right(r_s, least(length(s), length(r_s)))"))
+    unlike = F.least(F.levenshtein("s", "r_s") / longest, F.when((n >= 14) & (longest - n <= 45), ends / n))
     title = F.when((F.col("s") == "") | (F.col("r_s") == ""), "absent").when(unlike <= 0.1, "same").when(unlike <= 0.25, "close").otherwise("differ")
     number = F.when(F.col("num").isNull() | F.col("r_num").isNull(), "missing").when(F.col("num") == F.col("r_num"), "equal").otherwise("differ")
     commune = F.when(F.col("commune").isNull() | F.col("r_commune").isNull(), "missing").when(F.col("commune") == F.col("r_commune"), "equal").otherwise("differ")
