@@ -25,10 +25,11 @@ def tokens(c: Column) -> Column:
 
 
 def longest_contained(texts: DataFrame, text_id: str, text: str, names: DataFrame, name: str) -> DataFrame:
-    """(text_id, name): the longest name that a text holds as whole words. Candidates share their first word by an equality join on
-    words, so no text meets names it shares nothing with."""
+    """(text_id, name): the longest name that a text holds as whole words. Candidates share the name's longest word by an equality join,
+    so that no text meets names for a common word."""
     words = texts.select(text_id, F.concat(F.lit(" "), F.array_join(tokens(F.col(text)), " "), F.lit(" ")).alias("_t"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("_w"))
-    keys = names.select(F.col(name), F.array_join(tokens(F.col(name)), " ").alias("_n")).where("_n != ''").withColumn("_w", F.split("_n", " ")[0])
+    keys = names.select(F.col(name), F.array_join(tokens(F.col(name)), " ").alias("_n")).where("_n != ''")
+    keys = keys.withColumn("_w", F.array_max(F.transform(F.split("_n", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
     hits = words.join(sized(keys), "_w").where(F.contains(F.col("_t"), F.concat(F.lit(" "), F.col("_n"), F.lit(" "))))
     return hits.groupBy(text_id).agg(F.max_by(name, F.struct(F.length("_n"), "_n")).alias(name))
 

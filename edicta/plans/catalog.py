@@ -1,4 +1,4 @@
 """All queries of the core, by name."""
 
-from edicta.plans import aggregates, functions, ingestion, joins, sources, windows  # noqa: F401
+from edicta.plans import aggregates, functions, ingestion, joins, search, sources, windows  # noqa: F401
 from edicta.plans.registry import ORACLE, QUERIES  # noqa: F401
