@@ -71,3 +71,10 @@ def page_number(c: Column) -> Column:
     """Page of a listing address, by path (/page/n, /listado/x/n) or parameter; 1 where none is stated."""
     n = F.coalesce(F.nullif(F.regexp_extract(c, r"/(?:page|pagina)/(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(c, r"[?&](?:page|p|m)=(\d+)", 1), F.lit("")), F.lit("1"))
     return n.cast("int")
+
+
+def typed_web(c: Column) -> Column:
+    """An address typed by hand: null for the words that say there is none, http where no scheme is given, closing slashes off."""
+    bare = F.regexp_replace(c, "/+$", "")
+    none = F.lower(F.trim(c)).isin("", "-", "s/i", "no", "no tiene")
+    return F.when(c.isNull() | none, F.lit(None).cast("string")).when(c.rlike("^https?://"), bare).otherwise(F.concat(F.lit("http://"), bare))

@@ -177,3 +177,9 @@ def table_rows(html: Column) -> Column:
 def with_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """df with exactly the columns of a schema: missing ones null, others dropped."""
     return df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+
+
+def element_text(html: Column, element_id: str) -> Column:
+    """Text right inside the element of an id; null where there is none."""
+    p = rf"""(?s)<[^>]*\bid=["']{element_id}["'][^>]*>([^<]*)"""
+    return F.when(html.rlike(p), F.regexp_extract(html, p, 1))
