@@ -41,8 +41,14 @@ PHRASES = [
     r"titulo del? documento(?: 0)?", r"(?:nuevo )?documento sin titulo.*", r"sin titulo(?: 0)?", r"untitled.*", r"escrib[ae] aqui .*", r"ingres[ae] (?:la |el |una |un )?(?:descripcion|titulo|texto|nombre)\b.*", r"haga clic (?:para|aqui) .*", r"click (?:here|to add) .*", r"insert[ae] (?:aqui|titulo|texto).*",
     r"\[?object object\]?", r"(?:undefined|null|none|nan)(?:(?: n° ?| ?- ?|: ?| ?/ ?| )(?:undefined|null|none|nan))*", r"#(?:¡?(?:ref|valor|value|nombre|name|div/0|nulo|null|num)!?\??|n/a|n/d|na)", r"[.\-_*#?\s]{5,}", r"(?:dolor|lorem|ipsum|tempor|amet|consectetur|adipiscing|sit)(?: (?:dolor|lorem|ipsum|tempor|sit|amet|consectetur|adipiscing|elit|sed|nulla|pharetra|do|eiusmod|ut|labore|et|magna|aliqua|incididunt))+",
 ]
-#: Words of filler text; a title where three or more of them stand in a row is filler.
-FILLER = "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|tempor|incididunt|labore|dolore|magna|aliqua|nulla|pharetra|eiusmod|vestibulum|quis|nostrud|veniam|enim|vitae|pellentesque|donec|curabitur|mauris|fusce|aenean|integer|ultrices|volutpat|egestas"
+#: Words of filler text (fixed values). Three of them in a row, or most of a text's words, are filler.
+FILLER = (
+    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat "
+    "duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum pharetra tincidunt vestibulum vitae pellentesque "
+    "donec curabitur mauris fusce aenean integer ultrices volutpat egestas ullamcorper laoreet aliquam erat faucibus ornare suspendisse interdum posuere maecenas vivamus phasellus nunc eget justo lectus sapien turpis viverra "
+    "bibendum cursus dapibus dignissim etiam euismod facilisis feugiat fringilla gravida hendrerit iaculis imperdiet lacinia ligula lobortis luctus mattis mollis morbi neque nibh odio placerat porttitor praesent pretium proin "
+    "pulvinar purus quisque rhoncus risus rutrum sagittis scelerisque semper sodales sollicitudin tellus tortor tristique varius vehicula venenatis vulputate"
+).split()
 #: What pages put before and after a message.
 LEADING = r"^(?:(?:titulo|aviso|nota|atencion|mensaje|importante) ?: |\* ?|\[0\] ?|(?:ordenanzas|inicio|actos|documentos|portal) ?[»>|] ?|(?:ordenanza|decreto|resolucion|reglamento)(?: municipal| exento| exenta| alcaldicio)?(?: ?n?[°o.] ?(?:0|s/n))? ?[-:,.] )"
 TRAILING = r"(?: ?\| ?.{0,40}| ?[-–] ?(?:municipalidad|portal.{0,30}|ordenanzas|inicio|actos)| ?\(0\)| ?[·|-] ?ref\.? ?[0-9a-f]+| ?\.\.\.| ?…|[!.,;: ]+)$"
@@ -77,26 +83,31 @@ def grouped(rows: DataFrame) -> DataFrame:
 def classified(texts: DataFrame) -> DataFrame:
     """The texts that are not plain acts, with `kind`: placeholder, message, filler, or null."""
     texts = texts.where(~F.col("text").rlike(ACT) | F.col("text").rlike(SIGNS)).withColumn("core", core(F.col("text")))
-    filler = rf"\b(?:{FILLER})(?: (?:{FILLER})){{2,}}\b"
+    word = "|".join(FILLER)
+    filler = rf"\b(?:{word})(?: (?:{word})){{2,}}\b"
+    words = F.split("core", " ")
+    hits = F.size(F.filter(words, lambda w: w.isin(FILLER)))
     kind = (
         F.when(F.col("text").rlike("|".join(PLACEHOLDERS)), "placeholder")
         .when(F.col("core").rlike("^(?:" + "|".join(p for p in PHRASES if "\\1" not in p) + ")$"), "message")
-        .when(F.col("core").rlike(r"^(.)\1{5,}$") | F.col("text").rlike(filler), "filler")
+        .when(F.col("core").rlike(r"^(.)\1{5,}$") | F.col("text").rlike(filler) | (hits >= 3) & (hits >= 0.6 * F.size(words)), "filler")
     )
     return texts.withColumn("kind", kind)
 
 
 def with_misspelt(known: DataFrame) -> DataFrame:
-    """Texts without a kind that are no acts and differ by at most two letters (one of seven) from a recurring message. The recurring
-    messages are compared as one array: they repeat phrases of the rules and are few; more than `enough` of them go by a join on length."""
-    recurring = known.where((F.col("kind") == "message") & (F.col("times") >= MIN_TIMES) & (F.col("sources") >= MIN_SOURCES) & (F.length("core") >= 5))
-    cores = sorted(r.core for r in recurring.select("core").distinct().limit(5001).collect())
+    """Texts without a kind that are no acts and differ by at most two letters (one below eight) from a recurring message or a recurring
+    placeholder that is all there is. These are compared as one array: they repeat phrases of the rules and are few; more than 5,000 of
+    them go by a join on length."""
+    recurring = known.where(F.col("kind").isin("message", "placeholder") & ~F.col("core").rlike(ACT) & (F.length("text") <= 90) & (F.col("times") >= MIN_TIMES) & (F.col("sources") >= MIN_SOURCES))
+    recurring = recurring.select(F.explode(F.array_distinct(F.array("core", "text"))).alias("core")).where(F.length("core") >= 5).distinct()
+    cores = sorted(r.core for r in recurring.limit(5001).collect())
     if not cores or len(cores) > 5000:
         messages = recurring.select(F.col("core").alias("m")).distinct().withColumn("n", F.explode(F.sequence(F.length("m") - 2, F.length("m") + 2)))
         open_ = known.where(F.col("kind").isNull() & ~F.col("core").rlike(ACT)).withColumn("n", F.length("core"))
-        near = open_.join(messages, "n").where(F.levenshtein("core", "m") <= F.least(F.lit(2), (F.length("m") / 7).cast("int") + 1)).select("hash").distinct()
+        near = open_.join(messages, "n").where(F.levenshtein("core", "m") <= F.least(F.lit(2), (F.length("m") / 8).cast("int") + 1)).select("hash").distinct()
         return known.join(near.withColumn("_m", F.lit(True)), "hash", "left").withColumn("kind", F.coalesce("kind", F.when(F.col("_m"), "misspelt"))).drop("_m")
-    near = F.exists(F.array(*map(F.lit, cores)), lambda m: (F.abs(F.length(m) - F.length("core")) <= 2) & (F.levenshtein(m, F.col("core")) <= F.least(F.lit(2), (F.length(m) / 7).cast("int") + 1)))
+    near = F.exists(F.array(*map(F.lit, cores)), lambda m: (F.abs(F.length(m) - F.length("core")) <= 2) & (F.levenshtein(m, F.col("core")) <= F.least(F.lit(2), (F.length(m) / 8).cast("int") + 1)))
     return known.withColumn("kind", F.when(F.col("kind").isNotNull(), F.col("kind")).when(~F.col("core").rlike(ACT) & (F.length("core") <= max(map(len, cores)) + 2) & near, "misspelt"))
 
 
