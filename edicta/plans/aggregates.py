@@ -88,14 +88,17 @@ def area_pivot(t: Tables) -> DataFrame:
 with a as (select count(*) as n from {ACTS}), s as (select (select count(*) from ordenanzas) + (select count(*) from providencia_records) as n), d as (select sum(k)::bigint as n from (select count(*) as k from {ACTS} group by coalesce(comuna, '')))
 select a.n as acts, s.n as rows_in, d.n as by_territory, a.n = s.n and s.n = d.n as reconciled from a, s, d""")
 def reconciliation(t: Tables) -> DataFrame:
-    """Three ways to the same total, compared."""
-    spark = t.spark
-    a = acts(t).agg(F.count(F.lit(1)).alias("acts"))
-    rows = t.ordenanzas.select(F.lit(1)).unionAll(t.providencia_records.select(F.lit(1))).agg(F.count(F.lit(1)).alias("rows_in"))
-    by = acts(t).groupBy("comuna").count().agg(F.sum("count").alias("by_territory"))
-    one = spark.range(1).select()
-    for x in (a, rows, by):  # tables of one row each
-        one = one.join(F.broadcast(x))
+    """Three ways to the same total, compared: counted apart, stacked, and laid side by side by one aggregate."""
+    ways = {
+        "acts": acts(t).agg(F.count(F.lit(1)).alias("n")),
+        "rows_in": t.ordenanzas.select(F.lit(1)).unionAll(t.providencia_records.select(F.lit(1))).agg(F.count(F.lit(1)).alias("n")),
+        "by_territory": acts(t).groupBy("comuna").count().agg(F.sum("count").alias("n")),
+    }
+    stacked = None
+    for name, df in ways.items():
+        df = df.select(F.lit(name).alias("way"), "n")
+        stacked = df if stacked is None else stacked.unionByName(df)
+    one = stacked.agg(*(F.max(F.when(F.col("way") == w, F.col("n"))).alias(w) for w in ways))
     return one.withColumn("reconciled", (F.col("acts") == F.col("rows_in")) & (F.col("rows_in") == F.col("by_territory")))
 
 
@@ -161,9 +164,8 @@ def score_histogram(t: Tables) -> DataFrame:
     scores = topic_scores(t).select("comuna_nombre", F.explode(F.create_map(F.lit("ever"), "score", F.lit("recent"), "recent_score")).alias("period", "score"))
     n = scores.groupBy("period", "score").agg(F.count(F.lit(1)).alias("n"))
     grid = t.spark.range(0, 6).select(F.col("id").alias("score"), F.explode(F.array(F.lit("ever"), F.lit("recent"))).alias("period"))
-    all_ = t.communes_master.agg(F.count(F.lit(1)).alias("all"))
-    out = grid.join(n, ["period", "score"], "left").join(F.broadcast(all_)).select("period", "score", F.coalesce("n", F.lit(0)).alias("territories"), "all")
-    return out.select("period", "score", "territories", F.round(100.0 * F.col("territories") / F.col("all"), 1).alias("pct"))
+    out = grid.join(n, ["period", "score"], "left").select("period", "score", F.coalesce("n", F.lit(0)).alias("territories"))
+    return out.withColumn("pct", F.round(100.0 * F.col("territories") / F.sum("territories").over(Window.partitionBy("period")), 1))
 
 
 @query("a16_area_ranks", f"""

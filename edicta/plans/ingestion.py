@@ -318,5 +318,6 @@ def manifest_text(t: Tables) -> DataFrame:
 def latest_per_key(t: Tables) -> DataFrame:
     """An upsert of a log into nothing keeps one row a key; of itself into itself, nothing changes."""
     o = t.ordenanzas.select("norma_uri", "id", "creado_en")
-    keys = dedup.upsert(o.limit(0), o, ["norma_uri"], "creado_en").agg(F.count(F.lit(1)).alias("keys"))
-    return o.agg(F.count(F.lit(1)).alias("rows")).join(F.broadcast(keys))
+    kept = dedup.upsert(o.limit(0), o, ["norma_uri"], "creado_en")
+    stacked = o.select(F.lit(1).alias("row"), F.lit(0).alias("key")).unionAll(kept.select(F.lit(0), F.lit(1)))
+    return stacked.agg(F.sum("row").alias("rows"), F.sum("key").alias("keys"))

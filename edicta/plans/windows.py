@@ -64,10 +64,11 @@ def top_per_group(t: Tables) -> DataFrame:
     return t.providencia_records.where("region_id is not null").select("region_id", "record_id", F.row_number().over(w).alias("place")).where("place <= 6")
 
 
-@query("w8_chronological_rank", "select comuna, last, dense_rank() over (order by last desc)::int as place from (select comuna, max(capturado_en) as last from providencia_records where comuna is not null group by 1)")
+@query("w8_chronological_rank", "select comuna, last, dense_rank() over (order by last desc)::int as place from (select comuna, max(capturado_en) as last from providencia_records where comuna in (select comuna_nombre from communes_master) group by 1)")
 def chronological_rank(t: Tables) -> DataFrame:
-    """Ranks over the aggregate, one row for each typed name."""
-    last = t.providencia_records.where("comuna is not null").groupBy("comuna").agg(F.max("capturado_en").alias("last"))
+    """Ranks over the aggregate, one row for each name of the master list: what one task holds is bounded by that list."""
+    names = t.communes_master.select(F.col("comuna_nombre").alias("comuna"))
+    last = t.providencia_records.join(names, "comuna", "left_semi").groupBy("comuna").agg(F.max("capturado_en").alias("last"))
     return last.withColumn("place", F.dense_rank().over(Window.orderBy(F.desc("last"))))
 
 
