@@ -49,6 +49,7 @@ def words(value: str) -> list[str]:
     """The words of a typed name: one spelling, without what surrounds the name."""
     text = unicodedata.normalize("NFKC", _mended(value).translate(_LOOK).translate(_INVISIBLE)).lower()
     text = "".join(x for x in unicodedata.normalize("NFD", text) if unicodedata.category(x) != "Mn").strip()
+    text = re.sub(r"\bd/\s*(?=[a-z])", "de ", text)
     text = re.split(r"\s*[,/(;|]\s*|\s+[-–—]\s+", text.lstrip(",/(;|-– «\"'"), maxsplit=1)[0]
     text = " ".join(re.split(r"[^a-z0-9@€$]+", text)).strip()
     return LEAD.sub("", text + " ").split()
