@@ -36,6 +36,7 @@ ROMAN = re.compile(r"[ivxlc]{1,7}", re.I)
 PAGE = re.compile(r"(?:p[áa@]g(?:ina)?s?|p|foja|fojas|hoja|folio|fs)\.? ?[\dlOo]{1,5}(?: ?(?:de|/) ?[\dlOo]{1,5})?|[\[(] ?\d{1,5} ?[\])]|\d{1,4} ?/ ?\d{1,4}|[-–—] ?\d{1,5} ?[-–—]|\d{1,4} de \d{1,4}", re.I)
 ARTICLE = re.compile(r"\s*(?:art[íi1lf]?c?[uii]*l?[o0]|art)\b", re.I)
 ROW = re.compile(r"\s*\w{3,12} \d{1,3}: ")
+LOWER = re.compile(r"(?<!\w)[a-záéíóúñü]{2,}(?!\w)")
 
 
 def scanned(lines: list[str]) -> bool:
@@ -105,7 +106,9 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
 
     def could(i: int) -> bool:
         s = lines[i].strip()
-        return 5 <= len(s) <= 90 and s[-1] not in ".,;:" + HYPHENS and not s[0].islower() and not ARTICLE.match(s) and not ROW.match(s)
+        stated = _stated(s)  # lines of text may recur as well
+        prose = len(LOWER.findall(s)) > (7 if stated else 4) or not stated and re.search(r"[a-záéíóú)][.;] ", s)
+        return 5 <= len(s) <= 90 and s[-1] not in ".,;:" + HYPHENS and not s[0].islower() and not prose and not ARTICLE.match(s) and not ROW.match(s)
 
     some = [i for i in text if could(i)]
     looks = {i: shape(lines[i]) for i in some}
@@ -126,7 +129,7 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
             after = next((lines[j].strip() for j in text if j > i and j not in found), "")
             if len(same) > 1 and max(same) - min(same) > 3 and (_stated(s) or sum(j in edge for j in same) * 2 >= len(same)):
                 found |= set(same)
-            elif _stated(s) or i in edge and len(s) < width - 8 and not after[:1].islower() and NAMED.search(shape(s)):
+            elif _stated(s) or len(s) < width - 8 and not after[:1].islower() and NAMED.search(looks[i]):
                 found.add(i)
         if len(found) == size:
             break
@@ -136,7 +139,7 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
 #: Parts of a line set apart by signs or wide spaces, as headers have them.
 SET_APART = re.compile(r"\S {3,}\S|\S [—·|] \S|\S / \D+ / ")
 #: What headers of single pages name (fixed values, in the spelling of shape).
-NAMED = re.compile(r"boletin|boletln|boleten|arehlvo|eopla|ollelal|munlelpal|hoja|oelelna|^ordenanza n° #$")
+NAMED = re.compile(r"boletin|boletln|boleten|arehlvo|eopla d|texto ollelal|munlelpalldad de|hoja #|oelelna de partes|^ordenanza n° #$")
 #: Words that no line ends with unless the sentence goes on.
 TOKEN_END = re.compile(r"\b(?:de|la|el|los|las|del|en|a|al|y|o|que|con|por|para|su|sus|un|una|se|lo|[$])$", re.I)
 
