@@ -48,9 +48,12 @@ def attributes(df: DataFrame, id_col: str, commune: str, num: str, title: str, d
 
 
 def _blocks(left: bool) -> Column:
-    """Keys of the passes. A publication early in the year also meets acts of the year before. The sharp key is commune, number and
-    year; the others serve pairs where one side lacks a year, a number or the commune."""
-    years = F.when(F.lit(left) & (F.substring(F.coalesce("month", F.lit("-03")), -2, 2) <= "03"), F.array("year", F.col("year") - 1)).otherwise(F.array("year"))
+    """Keys of the passes. A publication early in the year also meets acts of the year before, on either side: compared() lets the left
+    date follow by MOST_DAYS, and precede by twice as many days where the right date is late, by two where not. The sharp key is
+    commune, number and year; the others serve pairs where one side lacks a year, a number or the commune."""
+    month = F.substring(F.coalesce("month", F.lit("-01")), -2, 2)
+    early = month <= "03" if left else F.when(F.col("late"), month <= "05").otherwise(F.coalesce(F.substring("day", -5, 5) <= "01-02", F.lit(False)))
+    years = F.when(early, F.array("year", F.col("year") - 1)).otherwise(F.array("year"))
     text = F.when(F.length("s") >= 12, F.col("s"))
     sharp = F.transform(years, lambda y: acts.block("n", F.col("commune"), F.col("num"), y))
     no_num = F.col("num").isNull()

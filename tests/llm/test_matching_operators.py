@@ -1,5 +1,6 @@
 """Canonical names, subjects, deduplication, linkage, mixing: defined cases on small tables, and brute force."""
 
+import datetime
 import random
 
 import pytest
@@ -158,6 +159,23 @@ def test_linkage(spark):
     assert linkage.linked(a.limit(0), b).count() == 0
 
 
+def test_linkage_over_the_turn_of_the_year(spark):
+    """Every pair that compared() finds near is proposed, the year of either side aside."""
+    names = {"San Pedro": 1}
+    days = ["2018-12-30", "2018-12-31", "2019-01-02", "2019-03-15", "2019-08-04", "2019-10-20", "2019-12-31"]
+    left = spark.createDataFrame([(i, "San Pedro", "5", "Ordenanza sobre ferias libres, sector El Boldo", d) for i, d in enumerate(days)], "id long, comuna_nombre string, numero string, titulo string, fecha string")
+    other = ["2018-12-31", "2019-01-02", "2019-01-03", "2019-03-20", "2019-05-29", "2020-01-02", "2020-05-28"]
+    dated = [(100 + i, "San Pedro", "5", "Ordenanza N° 5: Regula materias de ferias libres, sector El Boldo", d, None) for i, d in enumerate(other)]
+    right = spark.createDataFrame(dated + [(r[0] + 100, *r[1:4], None, r[4]) for r in dated], "record_id long, comuna string, numero string, titulo string, fecha string, fecha_publicidad string")
+    a = linkage.attributes(left, "id", "comuna_nombre", "numero", "titulo", ["fecha"], names)
+    b = linkage.attributes(right, "record_id", "comuna", "numero", "titulo", ["fecha", "fecha_publicidad"], names)
+    gap = lambda x, y: (datetime.date.fromisoformat(x) - datetime.date.fromisoformat(y)).days
+    want = {(i, r + late * 100) for i, x in enumerate(days) for r, y in enumerate(other, 100) for late in (0, 1) if (-150 if late else -2) <= gap(x, y) <= 75}
+    assert {(r.id, r.rid) for r in linkage.compared(a, b).where("date = 'near'").collect()} == want
+    # without a number the yearly keys of the title's ends serve
+    assert {(r.id, r.rid) for r in linkage.compared(a.withColumn("num", F.lit(None).cast("int")), b).where("date = 'near'").collect()} == want
+
+
 def test_em_separates_patterns():
     match, other = {"number": "equal", "date": "near", "title": "same", "commune": "equal"}, {"number": "differ", "date": "conflict", "title": "differ", "commune": "equal"}
     share, m, u = linkage.estimate([(match, 300), (other, 700)])
