@@ -201,6 +201,27 @@ def test_subjects(spark):
     assert subjects.subjects(df.limit(0), areas).count() == 0
 
 
+def test_labels_go_on_over_unlabelled_clauses(spark):
+    """Chains of any length, against reachability by brute force; a seed of two areas passes both on; scattered votes give none."""
+    chain = ["control de ruidos molestos", "control de ruidoz molestos", "control de ruidoz molextos", "controf de ruidoz molextos", "controf de ruidoz mplextos"]
+    scattered = [("esta comuna", f"area{i}", 3) for i in range(4)]
+    votes = spark.createDataFrame([(chain[0], "aseo", 5), ("bailes y ferias libres", "ruido", 30), ("bailes y ferias libres", "comercio", 25), ("bailes y ferias libres", "aseo", 3), *scattered], "clause string, area string, n long")
+    clauses = [*chain, "bailes y ferias libres", "bailes y ferias libress", "esta comuna", "nada parecido"]
+    got = {}
+    for r in subjects.propagated(votes, spark.createDataFrame([(c,) for c in clauses], "clause string")).collect():
+        got.setdefault(r.clause, set()).add(r.area)
+
+    def tri(c):
+        return {f" {c} "[i : i + 3] for i in range(len(c))}
+
+    reached, hops = {chain[0]}, 0
+    while more := {c for c in chain for x in reached if c not in reached and len(tri(c) & tri(x)) / len(tri(x)) >= subjects.SIMILAR and set(c.split()) & set(x.split()) - {"de"}}:
+        reached, hops = reached | more, hops + 1
+    assert hops >= 2 and {c for c in chain if "aseo" in got.get(c, ())} == reached == set(chain)
+    assert got["bailes y ferias libres"] == got["bailes y ferias libress"] == {"ruido", "comercio"}
+    assert "esta comuna" not in got and "nada parecido" not in got
+
+
 # -- mixing (problem 9)
 
 
