@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edicta.functions import dates
 from edicta.operators import dedup
 from edicta.plans.registry import Tables, query
+from edicta.session import cut
 
 HASHED = "select record_id, fecha, titulo, numero, comuna, target_url, verification.sha256 as h from providencia_records"
 
@@ -72,6 +73,19 @@ def chronological_rank(t: Tables) -> DataFrame:
     return last.withColumn("place", F.dense_rank().over(Window.orderBy(F.desc("last"))))
 
 
+@query("w8_chronological_rank_all", "select comuna, last, dense_rank() over (order by last desc)::int as place from (select comuna, max(capturado_en) as last from providencia_records where comuna is not null group by 1)")
+def chronological_rank_all(t: Tables) -> DataFrame:
+    """Ranks of every typed name. Distinct moments are ranked within ranges, and each range starts behind the sizes of those before it:
+    no task holds them all, and the table of ranges has a row for each partition."""
+    last = cut(t.providencia_records.where("comuna is not null").groupBy("comuna").agg(F.max("capturado_en").alias("last")), "last")
+    ranges = cut(last.select("last").distinct().repartitionByRange(F.desc("last")).withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("last")))
+    places = ranges.withColumn("own", own).join(F.broadcast(before), "part").select(F.col("last").alias("moment"), (F.col("own") + F.col("before")).cast("int").alias("place"))
+    return last.join(places, F.col("last").eqNullSafe(F.col("moment"))).select("comuna", "last", "place")
+
+
 @query("w9_sequential_ids", "select 'PV-' || lpad(row_number() over (order by cplt_code)::varchar, 4, '0') as seq, cplt_code from organisms")
 def sequential_ids(t: Tables) -> DataFrame:
     w = Window.orderBy("cplt_code")

@@ -1,0 +1,16 @@
+"""Queries over all rows, on small tables that hold what a filter would leave out."""
+
+from edicta.plans import catalog
+
+
+def table(spark, path, name, rows, schema):
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/{name}.parquet")
+
+
+def test_misspelt_names_are_ranked(spark, tmp_path):
+    rows = [(f"Nombre {i}", f"2024-01-{1 + i % 28:02d}") for i in range(300)] + [("San Pedro", "2024-02-01"), ("Sn. Pedro", "2024-03-01"), ("Sin captura", None), (None, "2025-01-01")]
+    table(spark, tmp_path, "providencia_records", rows, "comuna string, capturado_en string")
+    table(spark, tmp_path, "communes_master", [("San Pedro",)], "comuna_nombre string")
+    order = [*sorted({m for c, m in rows if c and m}, reverse=True), None]
+    got = {(r.comuna, r.place) for r in catalog.QUERIES["w8_chronological_rank_all"](spark, str(tmp_path)).collect()}
+    assert got == {(c, order.index(m) + 1) for c, m in rows if c}
