@@ -255,15 +255,30 @@ with recursive e as (select distinct regexp_extract(source_listing_url, '^https?
 r(node, depth) as (select min(src), 0 from e union select e.dst, r.depth + 1 from r join e on e.src = r.node where r.depth < 3)
 select node, min(depth)::int as depth from r group by 1""")
 def reachable(t: Tables) -> DataFrame:
-    """Hosts and territories reached from one host over links in at most three steps."""
+    """Hosts and territories reached from one host in at most three steps: over the links of all batches between hosts, and those of the
+    second batch from hosts to territories."""
+    return reached(t.providencia_records, t.providencia_records.where("lote = 2"))
+
+
+def reached(links: DataFrame, places: DataFrame) -> DataFrame:
+    """(node, depth) within three steps of the first host; links join hosts, places hosts to territories."""
     host = lambda c: F.regexp_extract(c, r"^https?://([^/]*)", 1)
-    p = t.providencia_records
-    a = p.where("source_listing_url is not null and target_url is not null").select(host("source_listing_url").alias("src"), host("target_url").alias("dst"))
-    b = p.where("target_url is not null and comuna is not null and lote = 2").select(host("target_url").alias("src"), F.col("comuna").alias("dst"))
+    a = links.where("source_listing_url is not null and target_url is not null").select(host("source_listing_url").alias("src"), host("target_url").alias("dst"))
+    b = places.where("target_url is not null and comuna is not null").select(host("target_url").alias("src"), F.col("comuna").alias("dst"))
     edges = a.union(b).distinct()
     return graph.reachable(edges.agg(F.min("src").alias("node")), edges, 3)
 
 
+@query("m5_reachable_all", """
+with recursive e as (select distinct regexp_extract(source_listing_url, '^https?://([^/]*)', 1) as src, regexp_extract(target_url, '^https?://([^/]*)', 1) as dst from providencia_records where source_listing_url is not null and target_url is not null
+ union select distinct regexp_extract(target_url, '^https?://([^/]*)', 1), comuna from providencia_records where target_url is not null and comuna is not null),
+r(node, depth) as (select min(src), 0 from e union select e.dst, r.depth + 1 from r join e on e.src = r.node where r.depth < 3)
+select node, min(depth)::int as depth from r group by 1""")
+def reachable_all(t: Tables) -> DataFrame:
+    """m5_reachable over the links of every batch."""
+    return reached(t.providencia_records, t.providencia_records)
+
+
 @query("m10_merge_update", """
 select m.comuna_nombre, coalesce(u.last, 'never') as last_fetch from communes_master m left join (select comuna, max(capturado_en)::date::varchar as last from providencia_records group by 1) u on u.comuna = m.comuna_nombre""")
 def merge_update(t: Tables) -> DataFrame:

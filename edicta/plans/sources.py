@@ -21,7 +21,7 @@ def csv_round_trip(t: Tables) -> DataFrame:
 @query("s2_json_envelopes", "select record_id, titulo from providencia_records where lote <= 12 and tabla_id is not null")
 def json_envelopes(t: Tables) -> DataFrame:
     """Envelopes of records by page of a listing, their declared count asserted, unnested again."""
-    p = t.providencia_records.where("lote <= 12 and tabla_id is not null")
+    p = t.providencia_records.where("tabla_id is not null")
     packs = p.groupBy("source_listing_url", "lote", F.floor(F.col("record_id") / 1000)).agg(F.to_json(F.struct(F.count(F.lit(1)).alias("count"), F.collect_list(F.struct("record_id", "titulo")).alias("records"))).alias("j"))
     return formats.checked_records(packs.select(formats.envelopes(F.col("j"), RECORD).alias("e")), "e").select("record_id", "titulo")
 

@@ -14,3 +14,16 @@ def test_misspelt_names_are_ranked(spark, tmp_path):
     order = [*sorted({m for c, m in rows if c and m}, reverse=True), None]
     got = {(r.comuna, r.place) for r in catalog.QUERIES["w8_chronological_rank_all"](spark, str(tmp_path)).collect()}
     assert got == {(c, order.index(m) + 1) for c, m in rows if c}
+
+
+def test_links_of_every_batch_are_followed(spark, tmp_path):
+    links = [(1, "https://a.example/l", "https://b.example/x", "Uno"), (2, "https://b.example/l", "https://c.example/x", "Dos"), (13, "https://c.example/l", "https://d.example/x", "Tres"), (None, None, "https://a.example/y", "Cuatro")]
+    table(spark, tmp_path, "providencia_records", links, "lote int, source_listing_url string, target_url string, comuna string")
+    got = {r.node: r.depth for r in catalog.QUERIES["m5_reachable_all"](spark, str(tmp_path)).collect()}
+    assert got == {"a.example": 0, "b.example": 1, "Cuatro": 1, "c.example": 2, "Uno": 2, "d.example": 3, "Dos": 3}
+
+
+def test_envelopes_of_later_batches_are_kept(spark, tmp_path):
+    rows = [(i, f"t{i}", "x", "https://a.example/l", lote) for i, lote in enumerate([1, 12, 13, 99])]
+    table(spark, tmp_path, "providencia_records", rows, "record_id long, titulo string, tabla_id string, source_listing_url string, lote int")
+    assert {r.record_id for r in catalog.QUERIES["s2_json_envelopes"](spark, str(tmp_path)).collect()} == {0, 1, 2, 3}
