@@ -249,8 +249,11 @@ def overrides(t: Tables) -> DataFrame:
 
 @query("c10_act_kinds", "select record_id, case when regexp_matches(strip_accents(lower(titulo)), 'deroga') then 'repeals' when regexp_matches(strip_accents(lower(titulo)), 'modifica|rectifica|reemplaza') then 'amends' when regexp_matches(strip_accents(lower(titulo)), 'refundido') then 'restates' else 'issues' end as kind from providencia_records where titulo is not null and not regexp_matches(titulo, '[^\\x{20}-\\x{17f}]')")
 def act_kinds(t: Tables) -> DataFrame:
+    return kinds(t.providencia_records.where(F.col("titulo").isNotNull() & ~F.col("titulo").rlike(r"[^\x{20}-\x{17f}]")))
+
+
+def kinds(p: DataFrame) -> DataFrame:
     rule = [rules.Rule(1, "repeals", "deroga"), rules.Rule(2, "amends", "modifica|rectifica|reemplaza"), rules.Rule(3, "restates", "refundido")]
-    p = t.providencia_records.where(F.col("titulo").isNotNull() & ~F.col("titulo").rlike(r"[^\x{20}-\x{17f}]"))
     return p.select("record_id", rules.first_label(text.fold(F.col("titulo")), rule, "issues").alias("kind"))
 
 

@@ -1,6 +1,6 @@
 """Queries over all rows, on small tables that hold what a filter would leave out."""
 
-from edicta.plans import catalog
+from edicta.plans import beyond_sql, catalog
 
 
 def table(spark, path, name, rows, schema):
@@ -27,3 +27,21 @@ def test_envelopes_of_later_batches_are_kept(spark, tmp_path):
     rows = [(i, f"t{i}", "x", "https://a.example/l", lote) for i, lote in enumerate([1, 12, 13, 99])]
     table(spark, tmp_path, "providencia_records", rows, "record_id long, titulo string, tabla_id string, source_listing_url string, lote int")
     assert {r.record_id for r in catalog.QUERIES["s2_json_envelopes"](spark, str(tmp_path)).collect()} == {0, 1, 2, 3}
+
+
+def test_titles_in_any_characters_have_a_kind(spark, tmp_path):
+    """Each word disguised in every way that fold() undoes, against the kind of the plain word."""
+    words = {"Deroga": "repeals", "MODIFICA": "amends", "rectifica": "amends", "Reemplaza": "amends", "refundido": "restates", "Aprueba": "issues"}
+    ways = [
+        lambda w: w,
+        lambda w: w.replace("e", "\u0435").replace("a", "\u0430").replace("o", "\u043e").replace("I", "\u0406"),  # Cyrillic
+        lambda w: "".join(chr(ord(c) + 0xFEE0) for c in w),  # full width
+        lambda w: "\u200b".join(w) + "\ufeff",
+        lambda w: w[:2] + "\u00ad" + w[2:],
+        lambda w: w.replace("a", "a\u0301").replace("I", "I\u0301"),  # combining
+        lambda w: w.replace("fi", "\ufb01"),
+    ]
+    rows = [(f"Decreto\u00a0\u2013 {way(w)} ordenanza", kind) for w, kind in words.items() for way in ways] + [(None, None)]
+    table(spark, tmp_path, "providencia_records", [(i, r[0]) for i, r in enumerate(rows)], "record_id long, titulo string")
+    got = {r.record_id: r.kind for r in beyond_sql.QUERIES["c10_act_kinds_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: kind for i, (_, kind) in enumerate(rows) if kind}
