@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,3 +75,26 @@ def slugify(c: Column, empty: str = "s_n") -> Column:
 def collapse(c: Column) -> Column:
     """White space of any kind collapsed to one space, byte-order and zero-width marks dropped, trimmed."""
     return F.trim(F.regexp_replace(F.translate(c, INVISIBLE, ""), r"(?U)\s+", " "))
+
+
+def _nfkc(c: Column) -> Column:
+    @F.pandas_udf("string")
+    def normal(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
+
+    return normal(c)
+
+
+#: What Python's \s matches: Java's does not have all of it.
+WHITE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+#: Characters that NFKC leaves as they are, whatever stands beside them if that is one of them too.
+STABLE = r"^[\x{00}-\x{9f}¡-§©«¬\x{ad}®°±¶·»¿-ÿ‐‒–—―‘’‚“”„•€\x{200b}-\x{200f}\x{feff}]*$"
+
+
+def cleaned(c: Column) -> Column:
+    """NFKC, four entities undone, white space of any kind collapsed and trimmed. null stays null. Only texts with other characters than
+    the stable ones go through Python."""
+    c = F.coalesce(F.when(c.rlike(STABLE), c), _nfkc(F.when(~c.rlike(STABLE), c)))
+    for a, b in (("&nbsp;", " "), ("&amp;", "&"), ("&#8211;", "-"), ("&quot;", '"')):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return F.trim(F.regexp_replace(c, WHITE, " "))

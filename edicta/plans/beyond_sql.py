@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from edicta.functions import text
 from edicta.plans import ingestion
 from edicta.plans.registry import Tables
 
@@ -22,3 +24,9 @@ def query(f: Callable[[Tables], DataFrame]):
 def c10_act_kinds_all(t: Tables) -> DataFrame:
     """The kind of every act with a title, in whatever characters it is written."""
     return ingestion.kinds(t.providencia_records.where("titulo is not null"))
+
+
+@query
+def f9_cleaned_text_all(t: Tables) -> DataFrame:
+    """The length of every text after the full cleaning."""
+    return t.documents.where("text is not null").select("doc_id", F.length(text.cleaned(F.col("text"))).alias("n"))

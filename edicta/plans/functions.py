@@ -64,8 +64,18 @@ def act_ids(t: Tables) -> DataFrame:
 
 @query("f30_url_parts", rf"""select record_id, lower({HOST}) as host, regexp_replace(lower({HOST}), '^www\.', '') as root, coalesce(regexp_matches(target_url, '(?i)\.pdf'), false) as pdf from providencia_records where target_url not like '%:%:%'""")
 def url_parts(t: Tables) -> DataFrame:
+    return parts(t.providencia_records.where("target_url not like '%:%:%'"))
+
+
+@query("f30_url_parts_all", rf"""select record_id, host, regexp_replace(host, '^www\.', '') as root, pdf from (select record_id, regexp_replace(lower({HOST}), ':[0-9]+$', '') as host, coalesce(regexp_matches(target_url, '(?i)\.pdf'), false) as pdf from providencia_records where target_url is not null)""")
+def url_parts_all(t: Tables) -> DataFrame:
+    """f30_url_parts over all addresses, also those with a port or a colon in the path."""
+    return parts(t.providencia_records.where("target_url is not null"))
+
+
+def parts(p: DataFrame) -> DataFrame:
     u = F.col("target_url")
-    return t.providencia_records.where("target_url not like '%:%:%'").select("record_id", urls.host(u).alias("host"), urls.root_host(u).alias("root"), F.coalesce(u.rlike(r"(?i)\.pdf"), F.lit(False)).alias("pdf"))
+    return p.select("record_id", urls.host(u).alias("host"), urls.root_host(u).alias("root"), F.coalesce(u.rlike(r"(?i)\.pdf"), F.lit(False)).alias("pdf"))
 
 
 @query("f30_normalized_urls", r"""with u as (select record_id, case when regexp_matches(target_url, '^[a-zA-Z][a-zA-Z0-9+.-]*://') then target_url else 'https://' || target_url end as f from providencia_records where target_url is not null)

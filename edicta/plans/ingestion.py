@@ -179,10 +179,19 @@ def cleaned_text(t: Tables) -> DataFrame:
 
 @query("f14_slug_names", "select id, array_to_string(list_transform(string_split(replace(regexp_replace(municipalidad_slug, '^municipalidad-de-', ''), '-', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as name from ordenanzas where regexp_matches(municipalidad_slug, '^[a-z-]+$')")
 def slug_names(t: Tables) -> DataFrame:
-    o = t.ordenanzas.where(F.col("municipalidad_slug").rlike("^[a-z-]+$"))
+    return named(t.ordenanzas.where(F.col("municipalidad_slug").rlike("^[a-z-]+$")))
+
+
+def named(o: DataFrame) -> DataFrame:
     return o.select("id", F.initcap(F.replace(F.regexp_replace("municipalidad_slug", "^municipalidad-de-", ""), F.lit("-"), F.lit(" "))).alias("name"))
 
 
+@query("f14_slug_names_all", "select id, array_to_string(list_transform(string_split(replace(regexp_replace(municipalidad_slug, '^municipalidad-de-', ''), '-', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as name from ordenanzas where municipalidad_slug is not null")
+def slug_names_all(t: Tables) -> DataFrame:
+    """f14_slug_names over slugs of any characters."""
+    return named(t.ordenanzas.where("municipalidad_slug is not null"))
+
+
 @query("f16_padded_ids", "select distinct region_id, case when regexp_matches(region_id, '^[0-9]+$') then lpad(region_id, greatest(2, length(region_id))::int, '0') else region_id end as padded from providencia_records where region_id is not null")
 def padded_ids(t: Tables) -> DataFrame:
     c = F.col("region_id")
