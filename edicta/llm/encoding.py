@@ -1,8 +1,9 @@
 """Encoding of a whole corpus with a public tokenizer (problem 8).
 
-Texts are split into words in Spark by the tokenizer's own pattern, each distinct word is encoded once, and the ids are joined back by
-position. Words so frequent that their rows would crowd one task (a share of HOT or more; by definition at most 1 / HOT of them) are
-joined as a broadcast table, the rest by a shuffle. Decoding joins ids with the table of pieces.
+Texts are split into words once, in Spark, by the tokenizer's own pattern; each distinct word is encoded once; ids are joined back by
+position. Words that make up a share of HOT or more of the corpus (by definition at most 1 / HOT of them, so what is broadcast has a
+bound that no corpus exceeds) are looked up where the words are, batch by batch; the others, none of which can crowd a task, are joined
+by a shuffle on the word and put in at their places. Decoding joins ids with the table of pieces.
 
 Defined cases: null and empty texts have an empty list of ids; blank texts are encoded as they are; texts are never shortened; repeated
 rows need distinct ids; an empty table gives no rows.
@@ -15,27 +16,29 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edicta.session import cut
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-HOT = 2e-4
+#: Where the vocabulary lies: an argument of every function here, by default from the environment.
+TOKENIZER = os.environ.get("EDICTA_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+HOT = 2e-5
 #: White space as the pattern means it; Java's own class is narrower.
 _W = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Byte-level pattern of the public tokenizer (fixed value).
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|[{_W}]+(?![^{_W}])|[{_W}]+"
 
 
-def words(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, pos, word): the pattern's words of each text, in order."""
-    found = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    return df.where(F.col(text) != "").select(F.col(doc_id).alias("doc"), F.posexplode(found).alias("pos", "word"))
+def split(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, words): the pattern's words of each text that is not empty, in order."""
+    return df.where(F.col(text) != "").select(F.col(doc_id).alias("doc"), F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)).alias("words"))
 
 
-def encoded_words(word_rows: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(word, times, ids): the distinct words, each encoded once."""
+def encoded_words(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """(word, times, ids): the distinct words, each encoded once. docs: (doc, words)."""
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,33 +50,80 @@ def encoded_words(word_rows: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame
             frame["ids"] = [x.ids for x in t.encode_batch(frame["word"].tolist(), add_special_tokens=False)]
             yield frame
 
-    return word_rows.groupBy("word").agg(F.count(F.lit(1)).alias("times")).mapInPandas(encode, "word string, times long, ids array<int>")
+    rows = docs.select(F.explode("words").alias("word"))
+    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("times")).mapInPandas(encode, "word string, times long, ids array<int>")
 
 
-def with_ids(word_rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-    """word_rows with the columns of the word table joined by word."""
+def frequent(table: DataFrame) -> pa.Table:
+    """(word, ids) of the words with a share of HOT or more: at most 1 / HOT rows."""
     total = table.agg(F.sum("times")).first()[0] or 0
-    hot = F.col("times") >= max(1.0, HOT * total)
-    often = F.broadcast(table.where(hot).select("word", *columns))
-    names = F.broadcast(table.where(hot).select("word"))
-    return word_rows.join(often, "word").unionByName(word_rows.join(names, "word", "left_anti").join(table.where(~hot).select("word", *columns), "word"))
+    rows = table.where(F.col("times") >= max(1.0, HOT * total)).select("word", "ids").collect()
+    return pa.table({"word": pa.array([r.word for r in rows], pa.string()), "ids": pa.array([list(r.ids) for r in rows], pa.list_(pa.int32()))})
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(words, index of the document of each, words of each document) of a batch."""
+    lists = batch.column("words")
+    return lists.flatten(), pc.list_parent_indices(lists), pc.list_value_length(lists)
+
+
+def looked_up(docs: DataFrame, hot: pa.Table) -> DataFrame:
+    """(doc, ids, at, cold): the ids of a document's frequent words in order, its other words, and for each of these how many of the ids
+    stand before it. Batches are looked up as columns; no word becomes an object."""
+    import numpy as np
+
+    kind = docs.schema["doc"].dataType.simpleString()
+    known = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = known.value
+        value_set, lists = table.column("word").combine_chunks(), table.column("ids").combine_chunks()
+        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype("int64")
+        for batch in batches:
+            flat, parent, count = _flat(batch)
+            at = pc.index_in(flat, value_set=value_set)
+            rows, docs_of = at.to_numpy(zero_copy_only=False), parent.to_numpy(zero_copy_only=False)
+            missing = np.isnan(rows) if rows.dtype.kind == "f" else np.zeros(len(rows), bool)
+            picked = np.where(missing, 0, np.nan_to_num(rows)).astype("int64")
+            sizes = np.where(missing, 0, size[picked] if len(size) else 0).astype("int64")
+            ids = lists.take(pa.array(picked[~missing])).flatten() if len(size) else pa.array([], pa.int32())
+            n = len(count)
+            per_doc = np.bincount(docs_of, weights=sizes, minlength=n).astype("int64")
+            starts = np.concatenate(([0], np.cumsum(per_doc)))
+            before = np.cumsum(sizes) - starts[docs_of] if len(sizes) else sizes
+            colds = np.concatenate(([0], np.cumsum(np.bincount(docs_of[missing], minlength=n)))).astype("int32")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids), pa.ListArray.from_arrays(pa.array(colds), pa.array(before[missing], pa.int32())), pa.ListArray.from_arrays(pa.array(colds), flat.filter(pa.array(missing)))],
+                ["doc", "ids", "at", "cold"],
+            )
+
+    return docs.mapInArrow(run, f"doc {kind}, ids array<int>, at array<int>, cold array<string>")
 
 
 def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, ids) of every row."""
-    rows = words(df, doc_id, text)
-    table = cut(encoded_words(rows, tokenizer), "words")
-    joined = with_ids(rows, table, "ids").select("doc", F.struct("pos", "ids").alias("p"))
-    lists = joined.groupBy("doc").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["ids"])).alias("ids"))
+    docs = cut(split(df, doc_id, text), "split")
+    table = cut(encoded_words(docs, tokenizer), "words")
+    known = cut(looked_up(docs, frequent(table)), "looked")
+    # the rest by word: none of them has a share that could crowd a task
+    cold = known.where(F.size("cold") > 0).select("doc", F.posexplode("cold").alias("k", "word"))
+    put = cold.join(table.select("word", F.col("ids").alias("piece")), "word").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("k", "piece"))).alias("put")).withColumnRenamed("doc", "_doc")
+    whole = known.join(put, known.doc == put._doc, "left")
+    from_, to = lambda k: F.when(k > 0, F.element_at("at", k)).otherwise(0), lambda k: F.element_at("at", k + 1)
+    parts = F.transform("put", lambda p: F.concat(F.slice("ids", from_(p["k"]) + 1, to(p["k"]) - from_(p["k"])), p["piece"]))
+    tail = F.slice("ids", F.element_at("at", -1) + 1, F.size("ids"))
+    lists = whole.select("doc", F.when(F.size("cold") == 0, F.col("ids")).otherwise(F.concat(F.flatten(parts), tail)).alias("ids"))
     rest = df.where(F.coalesce(F.col(text) == "", F.lit(True))).select(F.col(doc_id).alias("doc"), F.array().cast("array<int>").alias("ids"))
     return lists.unionByName(rest).withColumnRenamed("doc", doc_id)
 
 
 def token_counts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, n_tokens) of the rows with text."""
-    rows = words(df, doc_id, text)
-    table = cut(encoded_words(rows, tokenizer).select("word", "times", F.size("ids").alias("n")), "words")
-    return with_ids(rows, table, "n").groupBy("doc").agg(F.sum("n").alias("n_tokens")).withColumnRenamed("doc", doc_id)
+    """(doc_id, n_tokens) of the rows with text: frequent words are summed up where they are, the others joined by word."""
+    docs = cut(split(df, doc_id, text), "split")
+    table = cut(encoded_words(docs, tokenizer), "words")
+    known = cut(looked_up(docs, frequent(table)).select("doc", F.size("ids").cast("long").alias("n"), "cold"), "looked")
+    cold = known.where(F.size("cold") > 0).select("doc", F.explode("cold").alias("word")).join(table.select("word", F.size("ids").cast("long").alias("n")), "word")
+    return known.select("doc", "n").unionByName(cold.select("doc", "n")).groupBy("doc").agg(F.sum("n").alias("n_tokens")).withColumnRenamed("doc", doc_id)
 
 
 def pieces(spark, tokenizer: str = TOKENIZER) -> DataFrame:
