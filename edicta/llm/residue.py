@@ -1,9 +1,14 @@
 """Template residue and error-page text (problem 1).
 
 Titles are brought to one spelling, numbers, dates and addresses are masked, and equal masked texts are grouped by hash over all
-sources. Each distinct masked text is classified once: by placeholders left in it, by the phrases of messages that systems write, by
-filler. Phrases are matched against the text without the wrapping that pages put around a message. A recurring text that a phrase
-rule found stands for its misspelt forms as well: distinct texts that are no acts and differ from it by few letters join it.
+sources. Each distinct masked text is classified once. Placeholders are residue wherever they stand, filler and the phrases of messages
+where they are what a title says, without the wrapping that pages put around a message. Recurrence decides on the rest: a text that
+recurs over sources and is no act is judged by its words, each weighed by how often it occurs in messages that the rules know and in
+acts; what no act says in such words is a message, whether a phrase rule knows it or not. A recurring message stands for its misspelt
+forms as well: texts within a few letters of it, found by the segments that two near texts must share.
+
+`kind` tells how a text was found (placeholder, message, filler, recurring, misspelt), `times` how often it occurs, `sources` over how
+many sources: what occurs once is known by rule alone.
 
 Defined cases: null and blank titles are no residue; a title that merely mentions such things is none; the longest titles are
 classified whole; repeated rows each come out; other columns are kept out of the way; an empty table gives no rows.
@@ -21,10 +26,10 @@ from edicta.session import cut
 FIELDS = "titulo|titulo_doc|nombre|nombre_acto|nombre_archivo|denominacion|denominacion_acto|tipo|tipo_acto|materia|submateria|fecha|fecha_publicidad|fecha_publicacion|numero|num|nro|sector|comuna|municipalidad|region|descripcion|texto|contenido|autor|url|enlace|anio|ano|dia|mes|id|title|name|date|number|description|content|field|value"
 #: What a placeholder looks like, over folded text.
 PLACEHOLDERS = [
-    r"\{\{[^{}]{0,60}\}\}", r"\$\{[^{}]{0,60}\}", r"\{%[^{}]{0,60}%\}", r"<\?(=|php)?[^>]{0,80}\?>", r"<%=?[^>]{0,80}%>", r"\[\[[^\]]{0,60}\]\]",
+    r"\{\{[^{}]*\}\}", r"\$\{[^{}]*\}", r"\{%[^{}]*%\}", r"<\?(=|php)?[^>]*\?>", r"<%=?[^>]*%>", r"\[\[[^\]]*\]\]",
     rf"<(?:{FIELDS}|[a-z]+_[a-z_]+)>", rf"\{{(?:{FIELDS}|[a-z]+_[a-z_]+)\}}", rf"%(?:{FIELDS}|[a-z]+_[a-z_]+)%", rf"#(?:{FIELDS}|[a-z]+_[a-z_]+)#",
     rf"__(?:{FIELDS}|[a-z]+_[a-z_]+)__", rf"@@(?:{FIELDS}|[a-z]+_[a-z_]+)\b", r"_{4,}", r"\bx{4,}\b", r"\bxx[-/.]xx[-/.]\w{2,4}\b", r"\bdd[-/.]mm[-/.]a{2,4}\b",
-    r"[\[(<](?:por |sin )?(?:completar|definir|rellenar|llenar|insertar|ingresar|indicar|escribir|agregar|nombre d|titulo d|numero d|fecha d|materia\b|texto aqui|\.\.\.)[^\])>]{0,60}[\])>]",
+    r"[\[(<](?:por |sin )?(?:completar|definir|rellenar|llenar|insertar|ingresar|indicar|escribir|agregar|nombre d|titulo d|numero d|fecha d|materia\b|texto aqui|\.\.\.)[^\])>]*[\])>]",
     r"\[\.\.\.\]", r"\.{5,}", r"&(?:nbsp|amp|quot|lt|gt);",
 ]
 #: Messages of systems and filler, over the folded, masked core of a title (digits are 0).
@@ -51,10 +56,18 @@ FILLER = (
 ).split()
 #: What pages put before and after a message.
 LEADING = r"^(?:(?:titulo|aviso|nota|atencion|mensaje|importante) ?: |\* ?|\[0\] ?|(?:ordenanzas|inicio|actos|documentos|portal) ?[»>|] ?|(?:ordenanza|decreto|resolucion|reglamento)(?: municipal| exento| exenta| alcaldicio)?(?: ?n?[°o.] ?(?:0|s/n))? ?[-:,.] )"
-TRAILING = r"(?: ?\| ?.{0,40}| ?[-–] ?(?:municipalidad|portal.{0,30}|ordenanzas|inicio|actos)| ?\(0\)| ?[·|-] ?ref\.? ?[0-9a-f]+| ?\.\.\.| ?…|[!.,;: ]+)$"
+TRAILING = r"(?: ?\| ?[^|]*| ?[-–] ?(?:municipalidad|portal[^|]*|ordenanzas|inicio|actos)| ?\(0\)| ?[·|-] ?ref\.? ?[0-9a-f]+| ?\.\.\.| ?…|[!.,;: ]+)$"
 #: Openings of acts: whatever follows, the text is an act and is not compared with messages.
 ACT = r"\b(?:aprueba|regula|dicta|fija|establece|complementa|actualiza|modifica|deroga|reemplaza|autoriza|otorga|declara|designa|rectifica|deja sin efecto|subvencion|nombra|delega|crea|prorroga)\b"
+#: A text recurs if it occurs so often over so many sources.
 MIN_TIMES, MIN_SOURCES = 3, 2
+#: Layers of wrapping on either side of a message that are taken off.
+LAYERS = 3
+#: Kinds of acts: what is headed by one, or holds one with its number, is an act.
+HEADED = r"^(?:ordenanza|decreto|resolucion|reglamento|acuerdo|bases|convenio|contrato|plan|concurso|nomina|acta)\b"
+#: Words of so many letters or more are weighed; rates under RARE hardly count; a recurring text is a message from LEAST_WEIGHT on.
+WORD_LETTERS, RARE, LEAST_WEIGHT = 4, 1e-3, -0.1
+MOST_EDITS = 2
 
 
 #: Only texts with such signs can hold a placeholder or filler; other texts that open as an act are none.
@@ -69,8 +82,8 @@ def masked(folded: Column) -> Column:
 
 
 def core(text: Column) -> Column:
-    """The masked text without up to three layers of wrapping on either side."""
-    for _ in range(3):
+    """The masked text without LAYERS layers of wrapping on either side."""
+    for _ in range(LAYERS):
         text = F.regexp_replace(F.regexp_replace(text, LEADING, ""), TRAILING, "")
     return F.trim(text)
 
@@ -95,27 +108,64 @@ def classified(texts: DataFrame) -> DataFrame:
     return texts.withColumn("kind", kind)
 
 
+def _words(c: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(c, "[^a-zñ]+"), lambda w: F.length(w) >= WORD_LETTERS))
+
+
+def recurring(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """known with kind 'recurring' for texts that recur over sources and say what messages say, not what acts say. A word's weight is the
+    log of the rate at which the messages of the rules have it, less that at which acts have it, and a text weighs the mean of its words:
+    one in words of its own, that acts do not use, comes out as a message. texts: all distinct texts, with times and sources."""
+    act = F.col("text").rlike(ACT) | F.col("text").rlike(HEADED)
+    open_ = F.col("kind").isNull() & (F.col("times") >= MIN_TIMES) & (F.col("sources") >= MIN_SOURCES) & ~F.col("core").rlike(ACT) & ~F.col("core").rlike(HEADED)
+    asked = cut(known.where(open_).select("hash", F.explode(_words(F.col("core"))).alias("word")), "asked")
+    if asked.isEmpty():
+        return known
+    wanted = asked.select("word").distinct()
+    seen = lambda rows, name: rows.select(F.explode(_words(F.col("text"))).alias("word")).join(wanted, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias(name))
+    acts_, messages = texts.where(act), known.where("kind = 'message'").select(F.col("core").alias("text"))
+    n_acts, n_messages = acts_.count(), messages.count()
+    rate = lambda name, n: F.log(F.coalesce(name, F.lit(0)) / max(n, 1) + max(RARE, 1 / (n_acts + 1)))
+    weighed = asked.join(seen(acts_, "acts"), "word", "left").join(seen(messages, "messages"), "word", "left")
+    said = weighed.groupBy("hash").agg(F.avg(rate("messages", n_messages) - rate("acts", n_acts)).alias("weight")).where(F.col("weight") >= LEAST_WEIGHT)
+    return known.join(said.select("hash", F.lit("recurring").alias("_kind")), "hash", "left").withColumn("kind", F.coalesce("kind", "_kind")).drop("_kind")
+
+
+def _segments(c: Column) -> Column:
+    """The MOST_EDITS + 1 segments of a text, each a struct (n: length of the text, i, start, part)."""
+    n, k = F.length(c), MOST_EDITS + 1
+    at = lambda i: F.floor(n * i / k).cast("int")
+    return F.array(*(F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(c, at(i) + 1, at(i + 1) - at(i)).alias("part")) for i in range(k)))
+
+
 def with_misspelt(known: DataFrame) -> DataFrame:
-    """Texts without a kind that are no acts and differ by at most two letters (one below eight) from a recurring message or a recurring
-    placeholder that is all there is. These are compared as one array: they repeat phrases of the rules and are few; more than 5,000 of
-    them go by a join on length."""
-    recurring = known.where(F.col("kind").isin("message", "placeholder") & ~F.col("core").rlike(ACT) & (F.length("text") <= 90) & (F.col("times") >= MIN_TIMES) & (F.col("sources") >= MIN_SOURCES))
-    recurring = recurring.select(F.explode(F.array_distinct(F.array("core", "text"))).alias("core")).where(F.length("core") >= 5).distinct()
-    cores = sorted(r.core for r in recurring.limit(5001).collect())
-    if not cores or len(cores) > 5000:
-        messages = recurring.select(F.col("core").alias("m")).distinct().withColumn("n", F.explode(F.sequence(F.length("m") - 2, F.length("m") + 2)))
-        open_ = known.where(F.col("kind").isNull() & ~F.col("core").rlike(ACT)).withColumn("n", F.length("core"))
-        near = open_.join(messages, "n").where(F.levenshtein("core", "m") <= F.least(F.lit(2), (F.length("m") / 8).cast("int") + 1)).select("hash").distinct()
-        return known.join(near.withColumn("_m", F.lit(True)), "hash", "left").withColumn("kind", F.coalesce("kind", F.when(F.col("_m"), "misspelt"))).drop("_m")
-    near = F.exists(F.array(*map(F.lit, cores)), lambda m: (F.abs(F.length(m) - F.length("core")) <= 2) & (F.levenshtein(m, F.col("core")) <= F.least(F.lit(2), (F.length(m) / 8).cast("int") + 1)))
-    return known.withColumn("kind", F.when(F.col("kind").isNotNull(), F.col("kind")).when(~F.col("core").rlike(ACT) & (F.length("core") <= max(map(len, cores)) + 2) & near, "misspelt"))
+    """known with kind 'misspelt' for texts that are no acts and differ by at most MOST_EDITS letters (one below eight) from a recurring
+    message, or from a recurring placeholder that is all there is. Of a message's three segments two edits leave one whole, moved by two
+    places at most; texts and messages meet by an equality join on it, whatever their number, and are verified by the distance."""
+    recurs = known.where(F.col("kind").isin("message", "placeholder", "recurring") & ~F.col("core").rlike(ACT) & (F.col("times") >= MIN_TIMES) & (F.col("sources") >= MIN_SOURCES))
+    recurs = recurs.select(F.explode(F.array_distinct(F.array("core", "text"))).alias("m")).where(F.length("m") >= 5).distinct()
+    messages = recurs.select("m", F.explode(_segments(F.col("m"))).alias("s")).select("m", "s.*")
+    open_ = known.where(F.col("kind").isNull() & ~F.col("core").rlike(ACT) & (F.length("core") >= 5 - MOST_EDITS))
+    size, k = F.length("core"), MOST_EDITS + 1
+    start = lambda n, i: F.floor(n * i / k).cast("int")
+    lengths = F.sequence(F.greatest(size - MOST_EDITS, F.lit(1)), size + MOST_EDITS)
+    shifts = F.sequence(F.lit(-MOST_EDITS), F.lit(MOST_EDITS))
+
+    def windows(i: int) -> Column:
+        part = lambda n, d: F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring("core", start(n, i) + d + 1, start(n, i + 1) - start(n, i)).alias("part"))
+        return F.flatten(F.transform(lengths, lambda n: F.transform(shifts, lambda d: F.when(start(n, i) + d >= 0, part(n, d)))))
+
+    probes = open_.select("hash", "core", F.explode(F.array_distinct(F.array_compact(F.concat(*map(windows, range(k)))))).alias("s")).select("hash", "core", "s.*")
+    near = probes.join(messages, ["n", "i", "part"]).where(F.levenshtein("core", "m") <= F.least(F.lit(MOST_EDITS), F.floor(F.length("m") / 8).cast("int") + 1)).select("hash").distinct()
+    return known.join(near.withColumn("_m", F.lit(True)), "hash", "left").withColumn("kind", F.coalesce("kind", F.when(F.col("_m"), "misspelt"))).drop("_m")
 
 
 def residue(df: DataFrame, id_col: str, title_col: str, source: Column, folded: bool = False) -> DataFrame:
     """(id, kind, times, sources) of the records whose title is or contains residue. folded: the titles were folded before."""
     title = F.col(title_col) if folded else fold(F.col(title_col))
     rows = cut(df.select(F.col(id_col).alias("id"), masked(title).alias("text"), F.xxhash64(source).alias("source")), "masked")
-    known = cut(classified(grouped(rows)), "residue")
+    texts = cut(grouped(rows), "texts")
+    known = cut(recurring(texts, cut(classified(texts), "rules")), "residue")
     found = with_misspelt(known).where("kind is not null").select("hash", "kind", "times", "sources")
     return rows.select("id", F.md5("text").alias("hash")).where("hash is not null").join(found, "hash").select("id", "kind", "times", "sources")
 
