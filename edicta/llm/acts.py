@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicta.functions.text import fold
-from edicta.llm.canonical import not_exact, resolve_column
+from edicta.llm.canonical import Names, name_table, not_exact, resolve_column
 
 TYPES = "ordenanza(?: municipal| local)?|decreto(?: alcaldicio| exento)?|reglamento(?: municipal)?|resolucion(?: exenta)?|acuerdo"
 def number(c: Column) -> Column:
@@ -46,11 +46,10 @@ def subject(folded: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, rf"^(?:{VERBS})\s+", ""), r"\s*(?:[\[{<][^\]}>]*[\]}>]|#\d+|[-–] error de foliacion.*)\s*\.?$", ""))
 
 
-def with_commune(df: DataFrame, col: str, counts: dict[str, int], out: str = "commune") -> DataFrame:
+def with_commune(df: DataFrame, col: str, names: Names, out: str = "commune") -> DataFrame:
     """df with the reference name of its typed commune; null where it is missing or names none. Exact names skip Python."""
-    exact = df.sparkSession.createDataFrame([(n,) for n in counts], "_name string")
-    known = df.join(F.broadcast(exact), F.col(col) == F.col("_name"), "left_semi").withColumn(out, F.col(col))
-    typed = resolve_column(not_exact(df, col, counts), col, counts, out).withColumn(out, F.nullif(F.col(out), F.lit("")))
+    known = df.join(name_table(df, names), F.col(col) == F.col("_name"), "left_semi").withColumn(out, F.col(col))
+    typed = resolve_column(not_exact(df, col, names), col, names, out).withColumn(out, F.nullif(F.col(out), F.lit("")))
     return known.unionByName(typed).unionByName(df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast("string")))
 
 

@@ -1,8 +1,10 @@
 """Mapping free-entered values to a canonical list (problem 7).
 
-A symmetric-delete dictionary over the reference's keys is broadcast where a count proves the reference small (MAX_REFERENCE names);
-a larger one is met by an equality join on the same deletes, with the same result. A value's key is looked up within a bounded edit distance, candidates are ranked by weighted Damerau-Levenshtein
-distance, then by how often the reference name itself occurs. Values that name nothing are reported with the empty string.
+A symmetric-delete dictionary over the reference's keys is broadcast where a count proves the reference small (MAX_REFERENCE names); a
+larger one is met by an equality join on the same deletes, with the same result: `reference_counts` decides, and the other functions
+take what it gives. A value's key is looked up within a bounded edit distance, candidates are ranked by weighted Damerau-Levenshtein
+distance, then by how often the reference name itself occurs. Keys longer than any of the reference by more than the bound are not
+looked up: they can be near none. Values that name nothing are reported with the empty string.
 
 Defined cases: null values give null and no report; empty or blank values and values that only hold signs name nothing; ties of
 distance and frequency go to the first name in order; an empty reference maps every value to the empty string.
@@ -21,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edicta.functions.text import INVISIBLE, LOOKALIKE
+from edicta.session import cut
 
-MAX_REFERENCE = 50_000  # names; above, the dictionary would not be small
+MAX_REFERENCE = 50_000  # names; above, the dictionary would not be small, and names are joined
 MAX_EDITS = 2
 #: Misread signs and the letters they stand for (fixed values); such a change costs CHEAP instead of 1.
 MISREAD = {"0": "o", "1": "li", "3": "e", "4": "a", "5": "s", "6": "g", "8": "b", "@": "a", "€": "c", "$": "s"}
@@ -101,6 +104,7 @@ class Resolver:
         for k in self.by_key:
             for d in deletes(k, most):
                 self.by_delete.setdefault(d, []).append(k)
+        self.longest = max(map(len, self.by_key), default=0)
         self.resolve = lru_cache(maxsize=100_000)(self._resolve)
 
     def _first(self, keys: list[tuple[float, str]]) -> str:
@@ -116,17 +120,22 @@ class Resolver:
         if k in self.by_key:
             return self._first([(0, k)])
         most = min(self.most, max(1, len(k) // 4))
-        near = {c for d in deletes(k, most) for c in self.by_delete.get(d, ())} if len(k) <= 60 else set()
+        near = {c for d in deletes(k, most) for c in self.by_delete.get(d, ())} if len(k) <= self.longest + most else set()
         return self._first([(d, c) for c in near if (d := weighted_distance(k, c, most)) <= most])
 
 
-def reference_counts(reference: DataFrame, name_col: str, *typed: tuple[DataFrame, str]) -> dict[str, int]:
-    """Reference names and their occurrences in the typed columns. Bounded by the reference, which is checked."""
+Names = dict[str, int] | DataFrame  # small or large: name -> times, or (name, times)
+
+
+def reference_counts(reference: DataFrame, name_col: str, *typed: tuple[DataFrame, str]) -> Names:
+    """Reference names and their occurrences in the typed columns: a dictionary up to MAX_REFERENCE names, else a table."""
     names = reference.select(F.col(name_col).alias("name")).where("name is not null").distinct()
-    found = names.limit(MAX_REFERENCE + 1).collect()
-    if len(found) > MAX_REFERENCE:
-        raise ValueError(f"over {MAX_REFERENCE} names: use resolve_joined")
-    counts = {r.name: 0 for r in found}
+    if names.limit(MAX_REFERENCE + 1).count() > MAX_REFERENCE:
+        seen = names.select("name", F.lit(0).alias("n"))
+        for df, col in typed:
+            seen = seen.unionByName(df.select(F.col(col).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n")).join(names, "name", "left_semi"))
+        return cut(seen.groupBy("name").agg(F.sum("n").alias("times")), "names")
+    counts = {r.name: 0 for r in names.collect()}
     for df, col in typed:
         seen = df.select(F.col(col).alias("name")).join(F.broadcast(names), "name", "left_semi").groupBy("name").count()
         for r in seen.collect():
@@ -134,10 +143,19 @@ def reference_counts(reference: DataFrame, name_col: str, *typed: tuple[DataFram
     return counts
 
 
-def resolve_column(df: DataFrame, col: str, counts: dict[str, int], out: str = "canonical") -> DataFrame:
-    """df with `out`: the reference name col stands for, '' if none, null for null. No shuffle: the dictionary goes to the rows, each
-    distinct value of a task is resolved once."""
-    resolver = df.sparkSession.sparkContext.broadcast(counts)
+def name_table(df: DataFrame, names: Names) -> DataFrame:
+    """(_name): the names, marked for broadcast where they are known to be few."""
+    if isinstance(names, DataFrame):
+        return names.select(F.col("name").alias("_name"))
+    return F.broadcast(df.sparkSession.createDataFrame([(n,) for n in names], "_name string"))
+
+
+def resolve_column(df: DataFrame, col: str, names: Names, out: str = "canonical") -> DataFrame:
+    """df with `out`: the reference name col stands for, '' if none, null for null. No shuffle for a dictionary: it goes to the rows, and
+    each distinct value of a task is resolved once."""
+    if isinstance(names, DataFrame):
+        return resolve_joined(df, col, names, out)
+    resolver = df.sparkSession.sparkContext.broadcast(names)
 
     @F.pandas_udf("string")
     def to(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -148,32 +166,33 @@ def resolve_column(df: DataFrame, col: str, counts: dict[str, int], out: str = "
     return df.withColumn(out, to(F.col(col)))
 
 
-def not_exact(df: DataFrame, col: str, counts: dict[str, int]) -> DataFrame:
+def not_exact(df: DataFrame, col: str, names: Names) -> DataFrame:
     """The rows whose non-null value is not exactly a name of the reference."""
-    names = df.sparkSession.createDataFrame([(n,) for n in counts], "_name string")
-    return df.where(F.col(col).isNotNull()).join(F.broadcast(names), F.col(col) == F.col("_name"), "left_anti")
+    return df.where(F.col(col).isNotNull()).join(name_table(df, names), F.col(col) == F.col("_name"), "left_anti")
 
 
-def resolve_joined(df: DataFrame, col: str, reference: DataFrame, name_col: str, out: str = "canonical", most: int = MAX_EDITS) -> DataFrame:
-    """resolve_column for references of any size: distinct values and names meet in an equality join on their deletes. Names are as
-    frequent as they occur in col."""
-    typed = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("times"))
-    names = reference.select(F.col(name_col).alias("name")).where("name is not null").distinct()
-    names = names.join(typed, F.col("name") == F.col("v"), "left").select("name", F.coalesce("times", F.lit(0)).alias("times"))
+def resolve_joined(df: DataFrame, col: str, names: DataFrame, out: str = "canonical", most: int = MAX_EDITS) -> DataFrame:
+    """resolve_column for references of any size, (name, times): distinct values and names meet in an equality join on their deletes."""
+    typed = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v")).distinct()
+
+    @F.pandas_udf("string")
+    def keyed(s: pd.Series) -> pd.Series:
+        return s.map(key)
 
-    @F.pandas_udf("struct<k: string, d: array<string>>")
-    def keyed(s: pd.Series) -> pd.DataFrame:
-        ks = s.map(key)
-        return pd.DataFrame({"k": ks, "d": ks.map(lambda k: sorted(deletes(k, most)) if 0 < len(k) <= 60 else [k])})
+    @F.pandas_udf("array<string>")
+    def left_out(s: pd.Series) -> pd.Series:
+        return s.map(lambda k: sorted(deletes(k, most)))
 
     @F.pandas_udf("double")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([weighted_distance(x, y, min(most, max(1, len(x) // 4))) for x, y in zip(a, b, strict=True)])
 
-    left = typed.select("v", keyed("v").alias("e")).select("v", F.col("e.k").alias("k"), F.explode("e.d").alias("d")).where("k != ''")
-    right = names.select("name", "times", keyed("name").alias("e")).select("name", "times", F.col("e.k").alias("nk"), F.explode("e.d").alias("d"))
-    both = left.join(right, "d").select("v", "k", "name", "nk", "times").distinct().withColumn("w", distance("k", "nk"))
+    right = cut(names.select("name", "times", keyed("name").alias("nk")), "keys")
+    longest = right.agg(F.max(F.length("nk"))).first()[0] or 0
+    left = cut(typed.select("v", keyed("v").alias("k")), "keys").where((F.col("k") != "") & (F.length("k") <= longest + most))
+    probes = left.select("v", "k", F.explode(left_out("k")).alias("d"))
+    both = probes.join(right.select("name", "times", "nk", F.explode(left_out("nk")).alias("d")), "d").select("v", "k", "name", "nk", "times").distinct().withColumn("w", distance("k", "nk"))
     near = both.where(F.col("w") <= F.least(F.lit(float(most)), F.greatest(F.lit(1.0), F.floor(F.length("k") / 4))))
     best = near.groupBy("v").agg(F.min_by("name", F.struct(F.when(F.col("v") == F.col("name"), -1.0).otherwise(F.col("w")), -F.col("times"), "name")).alias("_to"))
-    joined = df.join(best, F.col(col) == F.col("v"), "left").drop("v")
+    joined = df.join(best.withColumnRenamed("v", "_v"), F.col(col) == F.col("_v"), "left").drop("_v")
     return joined.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_to", F.lit("")))).drop("_to")

@@ -25,7 +25,7 @@ from edicta.session import cut
 
 #: Where the vocabulary lies: an argument of every function here, by default from the environment.
 TOKENIZER = os.environ.get("EDICTA_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
-HOT = 2e-5
+HOT = 1e-5
 #: White space as the pattern means it; Java's own class is narrower.
 _W = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Byte-level pattern of the public tokenizer (fixed value).
@@ -106,13 +106,13 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     table = cut(encoded_words(docs, tokenizer), "words")
     known = cut(looked_up(docs, frequent(table)), "looked")
     # the rest by word: none of them has a share that could crowd a task
-    cold = known.where(F.size("cold") > 0).select("doc", F.posexplode("cold").alias("k", "word"))
+    cold = known.where(F.size("at") > 0).select("doc", F.posexplode("cold").alias("k", "word"))
     put = cold.join(table.select("word", F.col("ids").alias("piece")), "word").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("k", "piece"))).alias("put")).withColumnRenamed("doc", "_doc")
     whole = known.join(put, known.doc == put._doc, "left")
     from_, to = lambda k: F.when(k > 0, F.element_at("at", k)).otherwise(0), lambda k: F.element_at("at", k + 1)
     parts = F.transform("put", lambda p: F.concat(F.slice("ids", from_(p["k"]) + 1, to(p["k"]) - from_(p["k"])), p["piece"]))
     tail = F.slice("ids", F.element_at("at", -1) + 1, F.size("ids"))
-    lists = whole.select("doc", F.when(F.size("cold") == 0, F.col("ids")).otherwise(F.concat(F.flatten(parts), tail)).alias("ids"))
+    lists = whole.select("doc", F.when(F.size("at") == 0, F.col("ids")).otherwise(F.concat(F.flatten(parts), tail)).alias("ids"))
     rest = df.where(F.coalesce(F.col(text) == "", F.lit(True))).select(F.col(doc_id).alias("doc"), F.array().cast("array<int>").alias("ids"))
     return lists.unionByName(rest).withColumnRenamed("doc", doc_id)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from edicta.functions.text import fold
 from edicta.llm import acts
+from edicta.llm.canonical import Names
 
 #: Words of titles that place or join, without bearing on the subject.
 LINKS = "en|el|sector|y|e|incluye|sobre|la|los|las|de|del"
@@ -32,13 +33,12 @@ def subject_key(folded: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), rf" (?:(?:{LINKS}) )+", " ")), F.lit(""))
 
 
-def attributes(df: DataFrame, id_col: str, commune: str, num: str, title: str, dates: list[str], counts: dict[str, int]) -> DataFrame:
+def attributes(df: DataFrame, id_col: str, commune: str, num: str, title: str, dates: list[str], counts: Names) -> DataFrame:
     """(id, commune, num, day, month, year, late, s): dates are tried in order until one has a year; late: it was not the first."""
-    folded = fold(F.col(title))
-    parts = F.coalesce(*(F.when(d.getField("year").isNotNull(), d) for d in (acts.date_parts(F.col(x)) for x in dates)))
-    late = F.coalesce(acts.date_parts(F.col(dates[0])).getField("year").isNull(), F.lit(True))
-    rows = df.select(F.col(id_col).alias("id"), F.col(commune).alias("typed"), acts.number(F.col(num)).alias("n"), folded.alias("t"), parts.alias("d"), late.alias("late"))
-    rows = acts.with_commune(rows, "typed", counts)
+    rows = acts.with_commune(df.select(F.col(id_col).alias("id"), F.col(commune).alias("typed"), F.col(num).alias("n"), F.col(title).alias("t"), *(F.col(d).alias(f"d{i}") for i, d in enumerate(dates))), "typed", counts)
+    tried = [acts.date_parts(F.col(f"d{i}")) for i in range(len(dates))]
+    parts = F.coalesce(*(F.when(d.getField("year").isNotNull(), d) for d in tried))
+    rows = rows.select("id", "typed", "commune", acts.number(F.col("n")).alias("n"), fold(F.col("t")).alias("t"), parts.alias("d"), F.coalesce(tried[0].getField("year").isNull(), F.lit(True)).alias("late"))
     s = subject_key(F.col("t"))
     place = F.trim(F.regexp_replace(F.regexp_replace(fold(F.col("typed")), "[^a-z0-9]+", " "), rf"\b(?:{LINKS}) ", ""))
     bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(fold(c), "[^a-z0-9]+", " "), rf"\b(?:{LINKS}) ", ""))

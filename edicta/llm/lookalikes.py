@@ -164,10 +164,8 @@ class Rewriter:
         return self._stable(text)
 
     def _stable(self, text: str) -> str:
-        for _ in range(8):
-            new = self._once(text)
-            if new == text:
-                break
+        # ends: no representative is rewritten, and each round has fewer variants or a shorter text
+        while (new := self._once(text)) != text:
             text = new
         return text
 

@@ -44,7 +44,7 @@ def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(rows, "record_id", ["titulo", "descripcion"])
 
 
-def commune_names(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+def commune_names(spark: SparkSession, sf_dir: str):
     from edicta.llm.canonical import reference_counts
 
     typed = [(table(spark, sf_dir, "ordenanzas"), "comuna_nombre"), (table(spark, sf_dir, "providencia_records"), "comuna")]
