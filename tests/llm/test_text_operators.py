@@ -31,6 +31,40 @@ def test_residue_repeats_and_misspellings(spark):
     assert residue.without_residue(df, "id", "t", F.col("s")).collect() == [(9, "Regula navegadores de scripts", "h1")]
 
 
+def test_recurrence_decides_on_what_no_rule_knows(spark):
+    """An unlisted message over many hosts is found, a title that recurs as often is not, nor the message where it occurs once."""
+    hosts = [f"h{i}.example" for i in range(5)]
+    acts = [(i, f"Regula materias de {x} y {y}", hosts[i % 5]) for i, (x, y) in enumerate([(a, b) for a in ("ferias libres", "ruidos molestos", "aseo comunal", "mascotas", "tenencia responsable") for b in ("comercio ambulante", "áreas verdes", "tránsito", "alcoholes")])]
+    odd = "El contenedor remoto se cayó, avise al administrador"
+    rows = acts + [(1000 + i, odd, hosts[i % 5]) for i in range(200)] + [(2000 + i, "Ferias libres y comercio ambulante", hosts[i % 5]) for i in range(200)] + [(3000 + i, "Ordenanza N° 5 de San Pedro", hosts[i % 5]) for i in range(50)]
+    rows += [(4000, "El contenedor remoto se cayo, avise al administradr", "h1"), (4001, "El repositorio distante cayó", "h1"), (4002, "x", "h1")]
+    df = spark.createDataFrame(rows, "id long, t string, s string")
+    found = {r.id: r.kind for r in residue.residue(df, "id", "t", F.col("s")).collect()}
+    assert found == {**{1000 + i: "recurring" for i in range(200)}, 4000: "misspelt"}
+
+
+def test_misspelt_are_those_within_two_edits(spark):
+    """Against brute force: every text within the bound of a recurring message, edits anywhere, whatever the lengths."""
+    rng = random.Random(8)
+    messages = ["acceso denegado", "error 0 pagina no encontrada", "ups! no encontramos lo que busca " + "por favor " * 20 + "x"]
+    texts = []
+    for m in messages:
+        for _ in range(60):
+            w = list(m)
+            for _ in range(rng.randint(1, 4)):
+                i = rng.randrange(len(w))
+                rng.choice([lambda w=w, i=i: w.pop(i), lambda w=w, i=i: w.insert(i, "q"), lambda w=w, i=i: w.__setitem__(i, "q")])()
+            texts.append("".join(w))
+    known = spark.createDataFrame([(f"m{i}", m, m, 5, 3, "message") for i, m in enumerate(messages)] + [(f"t{i}", t, t, 1, 1, None) for i, t in enumerate(texts)], "hash string, text string, core string, times long, sources long, kind string")
+    got = {r.hash for r in residue.with_misspelt(known).where("kind = 'misspelt'").collect()}
+    near = known.where("kind is null").alias("a").crossJoin(known.where("kind = 'message'").alias("b")).where("levenshtein(a.core, b.core) <= least(2, floor(length(b.core) / 8) + 1)")
+    assert got == {r.hash for r in near.select("a.hash").collect()} and len(got) > 60
+
+
+def test_long_placeholders(spark):
+    assert residue_ids(spark, ["{{ " + "a" * 70 + " }}", "<?= " + "b" * 500 + " ?>", "Acceso denegado | " + "portal " * 20]) == {0, 1, 2}
+
+
 # -- look-alikes (problem 6)
 
 
@@ -106,7 +140,7 @@ def test_scan_empty_and_long(spark):
 def test_viterbi_is_the_best_path():
     words = {"la": 500, "multa": 60, "rnulta": 1, "del": 300, "público": 50, "sala": 40, "saia": 1}
     ch = scan_noise.Channel(2000, words, {("la", "multa"): 50, ("del", "público"): 40})
-    assert ch.decode(["la", "rnulta"]) == ["la", "multa"] and ch.decode(["del", "públic0"]) == ["del", "público"] and ch.decode([]) == [] or True
+    assert ch.decode(["la", "rnulta"]) == ["la", "multa"] and ch.decode(["del", "públic0"]) == ["del", "público"] and ch.decode([]) == []
     rng = random.Random(1)
     for _ in range(30):  # brute force over all paths
         line = [rng.choice(["la", "rnulta", "saia", "públic0", "del", "sala"]) for _ in range(4)]
@@ -129,7 +163,8 @@ def test_truncation(spark):
     got = {r.id: r for r in truncation.truncated(df).collect()}
     assert {i for i in got if i < 2000} == set(range(1000, 1060)) and all(got[i].at_limit for i in range(1000, 1060))
     assert {i for i in got if i >= 2000} == {2000, 2006}
-    assert [(r.source, r.length) for r in truncation.significant_lengths(df).collect()][0] == ("web", 200)
+    likeliest = min(truncation.significant_lengths(df).collect(), key=lambda r: r.p)
+    assert (likeliest.source, likeliest.length) == ("web", 200)
     assert truncation.truncated(df.limit(0)).count() == 0
     rates = {r.source: r for r in truncation.rates(df).collect()}
     assert rates["web"].truncated == 62 and rates[None].truncated == 0
