@@ -98,3 +98,20 @@ def cleaned(c: Column) -> Column:
     for a, b in (("&nbsp;", " "), ("&amp;", "&"), ("&#8211;", "-"), ("&quot;", '"')):
         c = F.replace(c, F.lit(a), F.lit(b))
     return F.trim(F.regexp_replace(c, WHITE, " "))
+
+
+def ascii_folded(c: Column) -> Column:
+    """Compatibility-decomposed, what is not ASCII left out, lower case, trimmed; punctuation stays. null stays null. Only texts with
+    other characters than the stable ones go through Python."""
+
+    @F.pandas_udf("string")
+    def plain(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), na_action="ignore")
+
+    quick = F.regexp_replace(_translate(c, ACCENTS, MARKS), r"[^\x{00}-\x{7f}]", "")
+    return F.trim(F.lower(F.coalesce(F.when(c.rlike(STABLE), quick), plain(F.when(~c.rlike(STABLE), c)))))
+
+
+def without_marks(c: Column) -> Column:
+    """Lower case without accents, composed or combining; punctuation and other signs stay as they are, trimmed."""
+    return F.trim(F.lower(_translate(c, ACCENTS, MARKS)))

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edicta.functions import dates
+from edicta.functions import dates, rule_sets
+from edicta.plans import classifiers
 from edicta.plans.registry import Tables, query
 
 YEAR = "try_cast(nullif(regexp_extract({0}, '((?:19|20)[0-9]{{2}})', 1), '') as int)"
 
 
 def acts(t: Tables) -> DataFrame:
-    """Acts of both tables: (comuna, origin, fecha, year, titulo, area). The area of an ordenanza is unknown here."""
-    p = t.providencia_records.select("comuna", F.lit("municipal").alias("origin"), "fecha", "titulo", F.nullif("materia_id", F.lit("")).alias("area"))
-    o = t.ordenanzas.select(F.col("comuna_nombre").alias("comuna"), F.lit("national").alias("origin"), F.col("fecha_publicacion").alias("fecha"), "titulo", F.lit(None).cast("string").alias("area"))
+    """Acts of both tables: (comuna, origin, fecha, year, titulo, area). The area is the declared one, else the axis of the title."""
+    axis = rule_sets.first_list(F.lower("titulo"), rule_sets.AXES, rule_sets.DEFAULT_AXIS, True)
+    p = t.providencia_records.select("comuna", F.lit("municipal").alias("origin"), "fecha", "titulo", F.coalesce(F.nullif("materia_id", F.lit("")), axis).alias("area"))
+    o = t.ordenanzas.select(F.col("comuna_nombre").alias("comuna"), F.lit("national").alias("origin"), F.col("fecha_publicacion").alias("fecha"), "titulo", axis.alias("area"))
     return o.unionAll(p).withColumn("year", dates.year(F.col("fecha")))
 
 
-ACTS = f"""(select comuna_nombre as comuna, 'national' as origin, fecha_publicacion as fecha, titulo, null::varchar as area, {YEAR.format('fecha_publicacion')} as year from ordenanzas
- union all select comuna, 'municipal', fecha, titulo, nullif(materia_id, ''), {YEAR.format('fecha')} from providencia_records)"""
+_AXIS = rule_sets.first_list_sql("lower(titulo)", rule_sets.AXES, repr(rule_sets.DEFAULT_AXIS), True)
+ACTS = f"""(select comuna_nombre as comuna, 'national' as origin, fecha_publicacion as fecha, titulo, {_AXIS} as area, {YEAR.format('fecha_publicacion')} as year from ordenanzas
+ union all select comuna, 'municipal', fecha, titulo, coalesce(nullif(materia_id, ''), {_AXIS}), {YEAR.format('fecha')} from providencia_records)"""
 
 
 @query("a1_territory_status", f"""
@@ -141,18 +144,18 @@ def coverage(t: Tables) -> DataFrame:
     return t.communes_master.join(n, F.col("comuna") == F.col("comuna_nombre"), "left").select("region_nombre", "comuna_nombre", F.coalesce("n", F.lit(0)).alias("acts"))
 
 
-BASKET = ["aseo_residuos", "convivencia_ruidos", "medio_ambiente", "obras_espacio_publico", "transito_transporte"]
-_B = ", ".join(f"'{x}'" for x in BASKET)
-SCORES = f"""(select m.comuna_nombre, m.region_id, count(distinct a.area) filter (a.area in ({_B})) as score, count(distinct a.area) filter (a.area in ({_B}) and a.year between 2021 and 2026) as recent_score
- from communes_master m left join {ACTS} a on a.comuna = m.comuna_nombre group by 1, 2)"""
+SCORES = f"""(select m.comuna_nombre, m.region_id, count(distinct a.topic) as score, count(distinct a.topic) filter (a.year between 2021 and 2026) as recent_score,
+ coalesce(string_agg(distinct a.topic, ', ' order by a.topic), '') as matched from communes_master m
+ left join (select comuna, {YEAR.format('fecha')} as year, unnest(topics) as topic from {classifiers.BASKET_SQL}) a on a.comuna = m.comuna_nombre group by 1, 2)"""
 
 
 @query("a14_topic_scores", f"select * from {SCORES}")
 def topic_scores(t: Tables) -> DataFrame:
-    """Distinct topics of a basket per territory, ever and recently. Topics are reduced per territory before they are counted."""
-    in_basket = acts(t).where(F.col("area").isin(BASKET)).groupBy("comuna", "area").agg(F.bool_or(dates.recent(F.col("fecha"))).alias("recent"))
-    per = in_basket.groupBy("comuna").agg(F.count(F.lit(1)).alias("s"), F.count_if("recent").alias("r"))
-    return t.communes_master.join(per, F.col("comuna") == F.col("comuna_nombre"), "left").select("comuna_nombre", "region_id", F.coalesce("s", F.lit(0)).alias("score"), F.coalesce("r", F.lit(0)).alias("recent_score"))
+    """Distinct topics of the basket per territory, ever and recently, and which they are. Topics are reduced per territory before they
+    are counted."""
+    in_basket = classifiers.basket_acts(t).select("comuna", "fecha", F.explode("topics").alias("topic")).groupBy("comuna", "topic").agg(F.bool_or(dates.recent(F.col("fecha"))).alias("recent"))
+    per = in_basket.groupBy("comuna").agg(F.count(F.lit(1)).alias("s"), F.count_if("recent").alias("r"), F.array_join(F.array_sort(F.collect_list("topic")), ", ").alias("matched"))
+    return t.communes_master.join(per, F.col("comuna") == F.col("comuna_nombre"), "left").select("comuna_nombre", "region_id", F.coalesce("s", F.lit(0)).alias("score"), F.coalesce("r", F.lit(0)).alias("recent_score"), F.coalesce("matched", F.lit("")).alias("matched"))
 
 
 @query("a15_score_histogram", f"""
