@@ -1,14 +1,21 @@
 """Noise in text from scanned pages (problem 2).
 
 Lines of a scanned text are told apart by the text's own structure: running headers recur page after page (misread or not), page
-numbers follow one another, words go on over line ends. Words are repaired by a noisy channel: the probability of the confusions that
-turn a candidate word into the one read, times the likelihood of the candidate among its neighbours, decoded by Viterbi per line.
+numbers follow one another, words go on over line ends. What headers say is learnt over the corpus: the words of lines that recur in
+their own text, against the words of all other lines, tell a header where a text has one page only.
 
-Word and word-pair counts are taken over the whole corpus. The channel needs those with a relative frequency of EPSILON or more: by
-that definition there are at most 1 / EPSILON of either, whatever the size of the corpus, and that is what the tasks receive.
+Words are repaired by a noisy channel: the probability of the confusions that turn a candidate word into the one read, times the
+likelihood of the candidate among its neighbours, decoded by Viterbi per line. The probability of a confusion is estimated by
+expectation-maximisation over the distinct words of the corpus: how often a sign is misread in frequent words, over how often it
+stands in them.
 
-Defined cases: null, empty and blank texts have no lines; texts whose lines are not wrapped are digital and have no noise; very long
-texts are treated whole; repeated rows each come out; lines keep their numbers from 1 after splitting at line feeds.
+Counts are taken over the whole corpus. The tasks receive words with a relative frequency of EPSILON or more and pairs with PAIR_EPSILON
+or more: by that definition there are at most 1 / EPSILON and 1 / PAIR_EPSILON of them, whatever the size of the corpus. A word rarer
+than EPSILON is no candidate for a correction; it is still recognised as misread where it holds signs that no word has.
+
+Defined cases: null, empty and blank texts have no lines; texts whose lines are not wrapped are digital and have no noise, single long
+lines in wrapped text aside; very long texts are treated whole, in time that grows with their lines; repeated rows each come out; lines
+keep their numbers from 1 after splitting at line feeds.
 """
 
 from __future__ import annotations
@@ -20,16 +27,21 @@ from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EPSILON = 1e-5
+EPSILON, PAIR_EPSILON = 1e-6, 1e-5
 #: What a scanned sign is read as, and the signs it may stand for (fixed values).
 CONFUSED = {"@": ("a",), "€": ("c",), "0": ("o",), "1": ("i", "l", "í"), "5": ("s",), "8": ("b",), "9": ("g", "q"), "6": ("ó", "b", "g"), "3": ("e",), "7": ("t",), "4": ("a",), "c": ("e", "é"), "l": ("i", "í", "t"), "f": ("í", "e", "t"), "rn": ("m",), "ri": ("n",), "ii": ("u", "ü"), "cl": ("d",), "li": ("h",), "vv": ("w",), "m": ("rn",), "i": ("l", "í"), "u": ("n",), "n": ("u",), "h": ("b",), "o": ("a", "c", "e"), "e": ("c",)}
 SURE = "@€01589634"  # signs no word holds among its letters
-P_ERROR, P_RARE = 0.004, 0.0006
-RARE = {"m", "i", "u", "n", "h", "o", "e"}  # confusions seldom made
+#: Where the estimate of a confusion's probability starts, how many words of evidence the start counts for, and how many times as
+#: frequent a word must be to be what another was misread from.
+P_START, P_WEIGHT, CLEARLY = 1e-3, 20, 20
+#: How many of a word's occurrences are taken for its own before anything else is known of it.
+OWN = 0.05
+LEAST_PAGE = 60  # a single page number up to this is taken as one in the shortest text
 HYPHENS = "-¬\xad‐‑"
 TOKEN = re.compile(r"[\w@€]+")
 ROMAN = re.compile(r"[ivxlc]{1,7}", re.I)
@@ -40,13 +52,19 @@ LOWER = re.compile(r"(?<!\w)[a-záéíóúñü]{2,}(?!\w)")
 
 
 def scanned(lines: list[str]) -> bool:
-    """Wrapped text: no long lines, and lines that stop inside a sentence that the next line takes up."""
-    if max(map(len, lines)) > 120:
+    """Wrapped text: more lines that stop inside a sentence, which the next line takes up, than lines too long to be wrapped."""
+    long = sum(len(x) > 120 for x in lines)
+    if 2 * long > sum(len(x) > 30 for x in lines):
         return False
+    broken = 0
+    starts = [(i, x.lstrip()[0].islower()) for i, x in enumerate(lines) if x.strip()]
+    k = 0
     for i, line in enumerate(lines):
-        if len(line) > 30 and line.rstrip()[-1:] not in ".:;":
-            after = [x.strip() for x in lines[i + 1 : i + 6] if x.strip()]
-            if any(x[0].islower() for x in after[:4]):
+        while k < len(starts) and starts[k][0] <= i:
+            k += 1
+        if 30 < len(line) <= 120 and line.rstrip()[-1:] not in ".:;":
+            broken += any(low for j, low in starts[k : k + 4] if j <= i + 5)
+            if broken > long:
                 return True
     return False
 
@@ -65,8 +83,14 @@ def _alike(a: str, b: str) -> bool:
         return True
     if abs(len(a) - len(b)) > 3 or len(a) < 8:
         return False
-    m = SequenceMatcher(None, a, b, autojunk=False)
-    return m.real_quick_ratio() > 0.85 and m.quick_ratio() > 0.85 and m.ratio() > 0.85
+    # what stands alike at either end is matched; of the rest at most the signs that both have
+    most = min(len(a), len(b))
+    head = next((k for k in range(most) if a[k] != b[k]), most)
+    tail = next((k for k in range(most - head) if a[-1 - k] != b[-1 - k]), most - head)
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    if 2 * (head + tail + sum(min(x.count(z), y.count(z)) for z in set(x))) <= 0.85 * (len(a) + len(b)):
+        return False
+    return SequenceMatcher(None, a, b, autojunk=False).ratio() > 0.85
 
 
 def _stated(s: str) -> bool:
@@ -82,24 +106,75 @@ def page_numbers(lines: list[str]) -> set[int]:
     bare = [(i, int(x.strip())) for i, x in enumerate(lines) if re.fullmatch(r"\d{1,4}", x.strip())]
     at = {i for i, _ in bare}
     alone = [(i, n) for i, n in bare if i - 1 not in at and i + 1 not in at]
-    # figures of tables stand together; pages rise by one, or by a few where a number was lost
-    chains: list[tuple[int, int, list[int]]] = []
-    for i, n in alone:
-        length, steps, chain = max(((c[0] + 1, c[1] - (n - m), [*c[2], i]) for c, (j, m) in zip(chains, alone, strict=False) if 1 <= n - m <= 4 and i - j >= 2), default=(1, 0, [i]), key=lambda c: c[:2])
-        chains.append((length, steps, chain))
-    best = max(chains, default=(0, 0, []), key=lambda c: c[:2])[2]
+    # figures of tables stand together; pages rise by one, or by a few where a number was lost. The best chain so far that ends in each
+    # figure is kept: longest, then of the smallest steps, then the first
+    ends: dict[int, tuple[int, int, int, int]] = {}
+    before: list[int] = []
+    top = (0, 0, 0, -1)
+    for at_, (_, n) in enumerate(alone):
+        length, steps, _, last = max((ends[m][0], ends[m][1] - (n - m), -ends[m][3], ends[m][3]) for m in range(n - 4, n) if m in ends) if any(m in ends for m in range(n - 4, n)) else (0, 0, 0, -1)
+        chain = (length + 1, steps, 0, at_)
+        before.append(last)
+        if n not in ends or chain[:2] > ends[n][:2]:
+            ends[n] = chain
+        if chain[:2] > top[:2]:
+            top = chain
+    best: list[int] = []
+    at_ = top[3]
+    while at_ >= 0:
+        best.append(alone[at_][0])
+        at_ = before[at_]
+    best.reverse()
     if len(found) > 1 and len(best) < 3:  # the text numbers its pages in another notation
         best = []
     if len(best) == 1:
         i = best[0]
+        # figures of a table stand near others; a text cannot have more pages before this one than it has lines
         near = any(i != j and abs(i - j) <= 6 for j in at)
-        best = [] if near or int(lines[i].strip()) > 60 else best
+        best = [] if near or int(lines[i].strip()) > max(LEAST_PAGE, len(lines)) else best
     return found | set(best)
 
 
-def headers(lines: list[str], pages: set[int]) -> set[int]:
+def _signs(s: str) -> list[int]:
+    """512 bits: which signs a shape has, how many times up to seven, as eight words of 64."""
+    bits = 0
+    for z, n in Counter(s).items():
+        at = ord(z) % 73 * 7
+        bits |= (1 << min(n, 7)) - 1 << at
+    return [bits >> 64 * k & 0xFFFFFFFFFFFFFFFF for k in range(8)]
+
+
+def grouped(shapes: dict[int, str]) -> dict[int, list[int]]:
+    """For each line, the lines that look like it, itself included: equal shapes at once, others by the first shape they are alike to.
+    A shape is compared with those of which it lacks few enough signs, found for all at once on bits."""
+    lines_of: dict[str, list[int]] = {}
+    for i, s in shapes.items():
+        lines_of.setdefault(s, []).append(i)
+    group: dict[str, list[int]] = {}
+    firsts: list[str] = []
+    bits, size = np.zeros((16, 8), np.uint64), np.zeros(16, np.int64)
+    for s, own in lines_of.items():
+        n, sign = len(firsts), np.array(_signs(s), np.uint64)
+        near = np.flatnonzero(np.abs(size[:n] - len(s)) <= 3) if len(s) >= 8 else []
+        if len(near):
+            lacks = np.bitwise_count(sign & ~bits[near]).sum(axis=1)
+            near = near[lacks <= len(s) - 0.425 * (len(s) + size[near])]
+        to = next((firsts[k] for k in near if _alike(s, firsts[k])), None)
+        if to is not None:
+            group[to].extend(own)
+            group[s] = group[to]
+            continue
+        group[s] = [*own]
+        if n == len(size):
+            bits, size = np.vstack([bits, np.zeros_like(bits)]), np.concatenate([size, np.zeros_like(size)])
+        bits[n], size[n] = sign, len(s)
+        firsts.append(s)
+    return {i: group[s] for i, s in shapes.items()}
+
+
+def headers(lines: list[str], pages: set[int], said: dict[str, float] | None = None) -> set[int]:
     """Indexes of running headers: short lines of one look that recur page by page; where there is one page, a line at its edge or
-    beside the page's number that looks like nothing else."""
+    beside the page's number that looks like nothing else, or that says what headers say. said: weight of words, learnt."""
     width = max(map(len, lines))
     text = [i for i, x in enumerate(lines) if x.strip() and i not in pages]
     edge = {i for i in text if i <= 1 or lines[i][:1] == "\x0c" or i - 1 in pages or i + 1 in pages or i >= len(lines) - 2}
@@ -112,46 +187,57 @@ def headers(lines: list[str], pages: set[int]) -> set[int]:
 
     some = [i for i in text if could(i)]
     looks = {i: shape(lines[i]) for i in some}
+    same_look = grouped(looks)
+    names = {i for i in some if said and weight(looks[i], said) > 0}
     found = {i for i in some if SET_APART.search(lines[i].strip())}
     wrap = sorted(len(lines[i].rstrip()) for i in text)[int(0.8 * len(text))] if text else 0
     for a, i, b in zip(text, text[1:], text[2:], strict=False):  # a line that a sentence runs past, too short to have been wrapped there
         before, after = lines[a].rstrip(), lines[b].strip()
-        if i in looks and NAMED.search(looks[i]) and before[-1:] not in ".:;" and after[:1].islower() and len(lines[i].strip()) + 1 + len(after.split()[0]) < wrap - 2:
+        if i in names and before[-1:] not in ".:;" and after[:1].islower() and len(lines[i].strip()) + 1 + len(after.split()[0]) < wrap - 2:
             found.add(i)
     for _ in range(3):  # a header beside a header is at the page's edge as well
         size = len(found)
         edge |= {i for i in text if i - 1 in found or i + 1 in found}
+        recurs: dict[int, bool] = {}  # by group
+        following = ""  # the next line of text that is no header, from the end backwards
+        after_of = {}
+        for i in reversed(text):
+            after_of[i] = following
+            if i not in found:
+                following = lines[i].strip()
         for i in some:
             if i in found:
                 continue
             s = lines[i].strip()
-            same = [j for j in some if _alike(looks[i], looks[j])]
-            after = next((lines[j].strip() for j in text if j > i and j not in found), "")
-            if len(same) > 1 and max(same) - min(same) > 3 and (_stated(s) or sum(j in edge for j in same) * 2 >= len(same)):
+            same = same_look[i]
+            if (apart := recurs.get(id(same))) is None:
+                far = len(same) > 1 and max(same) - min(same) > 3
+                apart = recurs[id(same)] = far and sum(j in edge for j in same) * 2 >= len(same) or far and None
+            if apart or apart is None and _stated(s):
                 found |= set(same)
-            elif _stated(s) or len(s) < width - 8 and not after[:1].islower() and NAMED.search(looks[i]):
+            elif _stated(s) or len(s) < width - 8 and not after_of[i][:1].islower() and i in names:
                 found.add(i)
         if len(found) == size:
             break
     return found
 
 
-#: Parts of a line set apart by signs or wide spaces, as headers have them.
-SET_APART = re.compile(r"\S {3,}\S|\S [—·|] \S|\S / \D+ / ")
-#: What headers of single pages name (fixed values, in the spelling of shape).
-NAMED = re.compile(r"boletin|boletln|boleten|arehlvo|eopla d|texto ollelal|munlelpalldad de|hoja #|oelelna de partes|^ordenanza n° #$")
-#: Words that no line ends with unless the sentence goes on.
-TOKEN_END = re.compile(r"\b(?:de|la|el|los|las|del|en|a|al|y|o|que|con|por|para|su|sus|un|una|se|lo|[$])$", re.I)
+def weight(look: str, said: dict[str, float]) -> float:
+    """How much more a line speaks like a header than like other lines: the sum of its words' weights."""
+    return sum(said.get(w, 0.0) for w in set(look.split())) + said.get("", 0.0)
 
 
+#: Parts of a line set apart by signs or wide spaces, as headers have them.
+SET_APART = re.compile(r"\S {3,}\S|\S [—·|] \S|\S / \D+ / ")
 def count_words(df: DataFrame, text: str) -> DataFrame:
-    """(a, b, n): words (b empty) and pairs of neighbouring words of a line, in lower case, over all texts."""
+    """(kind, a, b, n) over all texts: words 'w' and pairs of neighbouring words of a line 'p', in lower case; and of scanned texts, the
+    words of shapes of lines that are headers by recurrence 'h' and of the others 't', with the numbers of such lines under no word."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[tuple[str, str]] = Counter()
+        seen: Counter[tuple[str, str, str]] = Counter()
 
         def flushed() -> pd.DataFrame:
-            out = pd.DataFrame([(a, b, n) for (a, b), n in seen.items()], columns=["a", "b", "n"])
+            out = pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["kind", "a", "b", "n"])
             seen.clear()
             return out
 
@@ -159,57 +245,145 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
             for t in frame[text].dropna():
                 for line in t.lower().split("\n"):
                     w = TOKEN.findall(line)
-                    seen.update((x, "") for x in w)
-                    seen.update(zip(w, w[1:], strict=False))
+                    seen.update(("w", x, "") for x in w)
+                    seen.update(("p", x, y) for x, y in zip(w, w[1:], strict=False))
+                lines = t.split("\n")
+                if t.strip() and scanned(lines):
+                    pages = page_numbers(lines)
+                    heads = headers(lines, pages)
+                    for i, x in enumerate(lines):
+                        if x.strip() and i not in pages and len(x.strip()) <= 90:
+                            kind = "h" if i in heads else "t"
+                            seen.update((kind, y, "") for y in {*shape(x).split(), ""})
                 if len(seen) > 300_000:
                     yield flushed()
         yield flushed()
 
-    return df.select(text).mapInPandas(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return df.select(text).mapInPandas(count, "kind string, a string, b string, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+
+
+class Model:
+    """What the tasks receive: frequencies, weights of words in headers, stems of codes, probabilities of confusions."""
+
+    def __init__(self, total: int, words: dict[str, float], pairs: dict[tuple[str, str], int], said: dict[str, float] | None = None, codes: set[str] | None = None, odds: dict[tuple[str, str], float] | None = None):
+        self.total, self.words, self.pairs, self.said, self.codes, self.odds = total, words, pairs, said or {}, codes or set(), odds or {}
 
 
-def language_model(df: DataFrame, text: str) -> tuple[int, dict[str, int], dict[tuple[str, str], int]]:
-    """(words in all, frequent words, frequent pairs), each kind at most 1 / EPSILON entries."""
+def language_model(df: DataFrame, text: str) -> Model:
+    """The model of a corpus. Words and stems are at most 1 / EPSILON, pairs at most 1 / PAIR_EPSILON."""
     from edicta.session import cut
 
     counts = cut(count_words(df, text), "words")
-    total = counts.where("b = ''").agg(F.sum("n")).first()[0] or 0
+    totals = {r.kind: r.n for r in counts.where("kind = 'w' or a = ''").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    total = totals.get("w", 0)
     least = max(3, math.ceil(EPSILON * total))
-    rows = counts.where(F.col("n") >= least).collect()
-    return total, {r.a: r.n for r in rows if not r.b}, {(r.a, r.b): r.n for r in rows if r.b}
+    words = {r.a: r.n for r in counts.where((F.col("kind") == "w") & (F.col("n") >= least)).collect()}
+    pairs = {(r.a, r.b): r.n for r in counts.where((F.col("kind") == "p") & (F.col("n") >= max(3, math.ceil(PAIR_EPSILON * total)))).collect()}
+    stems = counts.where("kind = 'w'").where(F.col("a").rlike("^[a-z]+[0-9]+$")).groupBy(F.regexp_replace("a", "[0-9]+$", "").alias("stem")).agg(F.count(F.lit(1)).alias("forms"), F.sum("n").alias("n"))
+    codes = {r.stem for r in stems.where((F.col("forms") >= 3) & (F.col("n") >= least)).collect()}
+    odds = confusion_odds(counts, words)
+    return Model(total, own_counts(words, odds), pairs, _said(counts, totals), codes, odds)
+
+
+def own_counts(words: dict[str, int], odds: dict[tuple[str, str], float]) -> dict[str, float]:
+    """How often each word stands for itself: its count without the share that words CLEARLY more frequent explain as misread."""
+    longest = max(map(len, words), default=0)
+    out = {}
+    for w, n in words.items():
+        explained = sum(words[v] * odds[c] for v, c in _confusions(w) if words.get(v, 0) >= CLEARLY * n) if 4 <= len(w) <= longest and not w.isdigit() else 0
+        out[w] = n * n * OWN / (explained + n * OWN) if explained else n
+    return out
+
+
+def _said(counts: DataFrame, totals: dict[str, int]) -> dict[str, float]:
+    """The log odds of words in headers against other lines; under no word, those of the lines themselves. At most 1 / EPSILON words."""
+    heads, others = totals.get("h", 0), totals.get("t", 0)
+    if not heads or not others:
+        return {}
+    least = max(3, math.ceil(EPSILON * (heads + others)))
+    both = counts.where("kind in ('h', 't') and a != ''").groupBy("a").agg(F.sum(F.when(F.col("kind") == "h", F.col("n")).otherwise(0)).alias("h"), F.sum(F.when(F.col("kind") == "t", F.col("n")).otherwise(0)).alias("t"))
+    rows = both.where(F.col("h") + F.col("t") >= least).collect()
+    return {r.a: math.log((r.h + 0.5) / (heads + 1)) - math.log((r.t + 0.5) / (others + 1)) for r in rows} | {"": math.log(heads / others)}
+
+
+def _confusions(w: str) -> Iterator[tuple[str, tuple[str, str]]]:
+    """The words that one confusion turns into w, each with that confusion (what was read, what it stands for)."""
+    for i in range(len(w)):
+        for size in (1, 2):
+            if i + size <= len(w):
+                for to in CONFUSED.get(w[i : i + size], ()):
+                    yield w[:i] + to + w[i + size :], (w[i : i + size], to)
+
+
+def confusion_odds(counts: DataFrame, words: dict[str, int], rounds: int = 2) -> dict[tuple[str, str], float]:
+    """Probability of each confusion, by expectation-maximisation: a word CLEARLY rarer than words it may be misread from is shared among
+    these by their frequency and the confusions' present probabilities. Each round is one pass over the distinct words."""
+    signs: Counter[str] = Counter()
+    spelt = {to for tos in CONFUSED.values() for to in tos}
+    for w, n in words.items():
+        for to in spelt:
+            if k := w.count(to):
+                signs[to] += k * n
+    odds = {(read, to): P_START for read, tos in CONFUSED.items() for to in tos}
+    known = counts.sparkSession.sparkContext.broadcast(words)
+    longest = max(map(len, words), default=0)
+    for _ in range(rounds):
+        now = dict(odds)
+
+        def shared(frames: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                got: Counter[tuple[str, str]] = Counter()
+                for w, n in zip(frame["a"], frame["n"], strict=True):
+                    # words that hold figures only in place of letters, or letters only
+                    if len(w) > longest + 1 or w.isdigit() or len(w) < 4:
+                        continue
+                    options = [(c, known.value[v] * now[c]) for v, c in _confusions(w) if known.value.get(v, 0) >= CLEARLY * n]
+                    mass = sum(p for _, p in options) + n * OWN  # or it is a word of its own
+                    for c, p in options:
+                        got[c] += n * p / mass
+                yield pd.DataFrame([(*c, x) for c, x in got.items()], columns=["a", "b", "x"])
+
+        found = counts.where("kind = 'w'").select("a", "n").mapInPandas(shared, "a string, b string, x double").groupBy("a", "b").agg(F.sum("x").alias("x"))
+        times = {(r.a, r.b): r.x for r in found.collect()}
+        odds = {c: (times.get(c, 0.0) + P_WEIGHT * P_START) / (signs[c[1]] + P_WEIGHT) for c in odds}
+    return odds
 
 
 class Channel:
     """Noisy-channel correction of lines."""
 
-    def __init__(self, total: int, words: dict[str, int], pairs: dict[tuple[str, str], int]):
-        self.total, self.words, self.pairs = max(total, 1), words, pairs
+    def __init__(self, model: Model):
+        self.total, self.words, self.pairs, self.model = max(model.total, 1), model.words, model.pairs, model
+        self.odds = {c: math.log(p) for c, p in model.odds.items()}
+        self.longest = max(map(len, model.words), default=0)
         self.known: dict[str, list[tuple[str, float]]] = {}
 
     def _undone(self, w: str) -> Iterator[tuple[str, float]]:
         """Words that one or two confusions turn into w, with the log probability of those."""
+        start = math.log(P_START)
         once = []
         for i in range(len(w)):
             for size in (1, 2):
                 for to in CONFUSED.get(w[i : i + size], ()) if i + size <= len(w) else ():
-                    once.append((w[:i] + to + w[i + size :], i + len(to), math.log(P_RARE if w[i : i + size] in RARE else P_ERROR)))
+                    once.append((w[:i] + to + w[i + size :], i + len(to), self.odds.get((w[i : i + size], to), start)))
         yield from ((x, p) for x, _, p in once)
         for x, at, p in once:
             for i in range(at, len(x)):
                 for size in (1, 2):
                     for to in CONFUSED.get(x[i : i + size], ()) if i + size <= len(x) else ():
-                        yield x[:i] + to + x[i + size :], p + math.log(P_RARE if x[i : i + size] in RARE else P_ERROR)
+                        yield x[:i] + to + x[i + size :], p + self.odds.get((x[i : i + size], to), start)
 
     def candidates(self, w: str) -> list[tuple[str, float]]:
         """What w may stand for: (word, log channel probability); itself first. Only words of the corpus are candidates."""
         if (found := self.known.get(w)) is None:
             best: dict[str, float] = {}
-            if 2 <= len(w) <= 40 and not w.isdigit() and any(x.isalpha() for x in w):
+            # a confusion changes the length by one at most: longer words stand for none that is known
+            if 2 <= len(w) <= self.longest + 2 and not w.isdigit() and any(x.isalpha() for x in w):
                 own = self.words.get(w, 0)
                 for v, p in self._undone(w):
                     if (n := self.words.get(v, 0)) > own and v.isalpha() and v != w:
                         best[v] = max(best.get(v, -99.0), p)
-            found = [(w, 0.0), *sorted(best.items(), key=lambda x: (-x[1], x[0]))[:8]]
+            found = [(w, 0.0), *sorted(best.items(), key=lambda x: (-x[1], x[0]))]
             if len(self.known) > 500_000:
                 self.known.clear()
             self.known[w] = found
@@ -217,7 +391,7 @@ class Channel:
 
     def _likely(self, before: str, w: str) -> float:
         n = self.words.get(w, 0)
-        alone = n / self.total if n else 0.3 / self.total
+        alone = max(n, OWN) / self.total
         if any(x in SURE for x in w) and not w.isdigit():
             alone *= 1e-4
         b = self.words.get(before, 0)
@@ -241,8 +415,9 @@ class Channel:
         return out[::-1]
 
 
-def _odd(word: str) -> bool:
-    """A word with one or two signs among its letters that no word holds there; codes and ordinals are none."""
+def _odd(word: str, codes: set[str]) -> bool:
+    """A word with one or two signs among its letters that no word holds there; codes and ordinals are none. codes: stems of words that
+    the corpus has with several numbers behind them."""
     signs = [x for x in word if x in SURE]
     letters = [x for x in word if x.isalpha()]
     if not signs or len(signs) > 2 or len(letters) < 3 or len(letters) + len(signs) < len(word):
@@ -250,7 +425,7 @@ def _odd(word: str) -> bool:
     if any(x in "@€" for x in signs):
         return True
     inside = re.search(r"[a-záéíóúñü]{2}[01589634]|[01589634][a-záéíóúñü]{2}", word) and not re.search(r"[A-Z]{2}", word) and not re.match(r"\w*\d\d", word)
-    return bool(inside) and not re.fullmatch(r"(?:Int|exp|SGD|RX|OP|DOM)\d+", word)
+    return bool(inside) and not (re.fullmatch(r"[A-Za-z]+\d+", word) and word.lower().rstrip("0123456789") in codes)
 
 
 class Page:
@@ -265,7 +440,7 @@ class Page:
         if not self.is_scan:
             return
         pages = page_numbers(self.lines)
-        heads = headers(self.lines, pages)
+        heads = headers(self.lines, pages, channel.model.said)
         self.dropped = pages | heads
         self.kinds += [(i, "page_number") for i in pages] + [(i, "header") for i in heads]
         body = [i for i, x in enumerate(self.lines) if x.strip() and i not in self.dropped]
@@ -295,7 +470,7 @@ class Page:
             read = [w.lower() for w in whole]
             found = channel.decode(read) if read else []
             for n, (w, r, v) in enumerate(zip(whole, read, found, strict=True)):
-                if r != v or _odd(w):
+                if r != v or _odd(w, channel.model.codes):
                     at = i
                     if rest and n == len(whole) - 1:
                         same = 0
@@ -360,7 +535,7 @@ def _run(df: DataFrame, id_col: str, text: str, schema: str, rows, model) -> Dat
     model = df.sparkSession.sparkContext.broadcast(model if model is not None else language_model(df, text))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        channel = Channel(*model.value)
+        channel = Channel(model.value)
         for frame in frames:
             for at in range(0, len(frame), 500):
                 part = frame.iloc[at : at + 500]

@@ -137,9 +137,71 @@ def test_scan_empty_and_long(spark):
     assert found == 800
 
 
+def test_one_long_line_switches_nothing_off(spark):
+    rows = "TABLA " + "x y z " * 40
+    want = {(1, 1, "header"), (1, 6, "header"), (1, 5, "page_number"), (1, 10, "page_number"), (1, 2, "hyphen"), (1, 3, "ocr"), (1, 8, "ocr")}
+    df = scan_frame(spark, [(7, SCAN + "\n" + rows)])
+    got = {(r.line_no, r.kind) for r in scan_noise.noise(df, "id", "texto").where("id = 7").collect()}
+    assert {(n, k) for _, n, k in want} <= got
+    assert not scan_noise.scanned([("Un texto digital en párrafos largos, " * 5).strip()] * 6 + ["una lista sin punto al final de la línea", "que sigue abajo"])
+
+
+def test_many_header_like_lines_take_no_square_time():
+    import time
+
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("ABDEGHJKMNPQRSTVXZ") for _ in range(n))
+    for lines in ([f"MUNICIPALIDAD DE PRUEBA {i}" for i in range(10_000)], [f"{word(8)} {word(9)} {word(8)}" for _ in range(5_000)], [str(1 + i // 2) if i % 2 else "texto que sigue" for i in range(20_000)]):
+        began = time.time()
+        mixed = [x for line in lines for x in (line, "y una línea de texto corriente que no termina aquí")]
+        scan_noise.headers(mixed, scan_noise.page_numbers(mixed))
+        assert time.time() - began < 30
+
+
+def test_groups_are_those_of_pairwise_comparison():
+    """Every line lies with a line it is alike to, against comparison of all pairs; equal lines always together."""
+    rng = random.Random(6)
+    base = ["municipalidad de villa alta", "boletin comunal, ano #", "direccion de obras — hoja #", "secretaria municipal de san pedro"]
+    looks = {}
+    for i in range(400):
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = rng.choice("aeioulm")
+        looks[i] = "".join(w)
+    groups = scan_noise.grouped(looks)
+    for i in looks:
+        assert i in groups[i] and all(looks[j] != looks[i] or j in groups[i] for j in looks)
+        alike = [j for j in looks if j != i and scan_noise._alike(looks[i], looks[j])]
+        assert not alike or len(groups[i]) > 1
+
+
+def test_page_chains_are_the_longest():
+    rng = random.Random(9)
+    for _ in range(60):
+        lines = [str(rng.randint(1, 12)) if rng.random() < 0.4 else "texto corrido" for _ in range(40)]
+        alone = [(i, int(x)) for i, x in enumerate(lines) if x.isdigit() and not (i and lines[i - 1].isdigit()) and not (i + 1 < len(lines) and lines[i + 1].isdigit())]
+        best = {}
+        for i, n in alone:  # brute force over all predecessors
+            best[i] = 1 + max((best[j] for j, m in alone if j < i and 1 <= n - m <= 4), default=0)
+        longest = max(best.values(), default=0)
+        if longest > 1:
+            assert len(scan_noise.page_numbers(lines)) == longest
+
+
+def test_confusions_are_estimated(spark):
+    """Ten in a thousand m read as rn, none of u as n: the estimate follows, whatever it started from; codes are learnt."""
+    good = "la multa mayor del municipio y la suma menor del monto"
+    bad = good.replace("multa", "rnulta")
+    rows = [(i, bad if i % 100 == 0 else good) for i in range(2000)] + [(5000 + i, f"expediente exp{i} de la suma") for i in range(50)]
+    model = scan_noise.language_model(spark.createDataFrame(rows, "id long, texto string"), "texto")
+    assert 0.001 < model.odds["rn", "m"] < 0.004 and model.odds["n", "u"] < 0.001  # 20 of about 12,000 m
+    assert model.codes == {"exp"} and not scan_noise._odd("exp1", model.codes) and scan_noise._odd("públic0", model.codes)
+    assert model.words["rnulta"] < 1 and model.words["multa"] == 1980
+
+
 def test_viterbi_is_the_best_path():
-    words = {"la": 500, "multa": 60, "rnulta": 1, "del": 300, "público": 50, "sala": 40, "saia": 1}
-    ch = scan_noise.Channel(2000, words, {("la", "multa"): 50, ("del", "público"): 40})
+    words = {"la": 500, "multa": 60, "rnulta": 0.2, "del": 300, "público": 50, "sala": 40, "saia": 0.2}
+    ch = scan_noise.Channel(scan_noise.Model(2000, words, {("la", "multa"): 50, ("del", "público"): 40}))
     assert ch.decode(["la", "rnulta"]) == ["la", "multa"] and ch.decode(["del", "públic0"]) == ["del", "público"] and ch.decode([]) == []
     rng = random.Random(1)
     for _ in range(30):  # brute force over all paths
