@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edicta.operators.matching import sized
+
 
 def keep_best(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key by the order. Rows with a null in any key are kept and never meet in one task: each is salted by
@@ -30,8 +32,9 @@ def append_delta(old: DataFrame, new: DataFrame, keys: list[str], order: str) ->
 
 
 def replace_partition(old: DataFrame, new: DataFrame, column: str) -> DataFrame:
-    """old without the values of column that new brings, and new."""
-    return old.join(F.broadcast(new.select(column).distinct()), column, "left_anti").unionByName(new)
+    """old without the values of column that new brings, and new. Rows of old without a value stay, also where new brings such rows: null
+    names no partition to replace. The values are broadcast where a count proves them few."""
+    return old.join(sized(new.select(column).distinct()), column, "left_anti").unionByName(new)
 
 
 def violations(df: DataFrame, keys: list[str]) -> DataFrame:

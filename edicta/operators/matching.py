@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +58,36 @@ def best_similar(left: DataFrame, left_col: str, right: DataFrame, right_col: st
     near = grams.join(sized(pieces.select("_b", "_p").union(short)), "_p").select("_a", "_b").distinct().withColumn("_d", F.levenshtein("_a", "_b", most)).where("_d >= 0")
     best = near.groupBy("_a").agg(F.min_by(F.struct("_b", "_d"), F.struct("_d", "_b")).alias("_m"))
     return best.select(F.col("_a").alias(left_col), F.col("_m._b").alias(right_col), F.col("_m._d").alias("distance"))
+
+
+def best_ratio(left: DataFrame, left_col: str, right: DataFrame, right_col: str, least: float = 0.72) -> DataFrame:
+    """(left_col, right_col, ratio) for each distinct left value: the equal right value, else the one of the highest ratio of matching
+    blocks (2 M / (len a + len b)) if that is `least` or more; of equal ratios the first in order. Blank values have no match.
+
+    Values of so high a ratio share two letters in a row, unless they are short: with M matched letters there are at most
+    len a + len b - 2 M + 1 blocks, so if each had one letter, M would be no more than that, hence (2 * least - 1) * (len a + len b) / 2
+    less M no more than 1. Candidates therefore meet on pairs of letters, short ones on single letters; no pair that counts is missed."""
+    a = left.select(F.col(left_col).alias("_a")).where("_a is not null and trim(_a) != ''").distinct()
+    b = right.select(F.col(right_col).alias("_b")).where("_b is not null and trim(_b) != ''").distinct()
+    equal = a.join(b, a._a == b._b).select("_a", "_b", F.lit(1.0).alias("_r"))
+    rest = a.join(b, a._a == b._b, "left_anti")
+    short = int(1 / (1.5 * least - 1)) + 1 if 1.5 * least > 1 else None  # letters of both together
+    if short is None:
+        raise ValueError("least must be over 2/3")
+
+    def parts(c: Column) -> Column:
+        n = F.length(c)
+        pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+        single = F.when(n < short, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(c, i, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.concat(pairs, single))
+
+    @F.pandas_udf("double")
+    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)])
+
+    near = rest.select("_a", F.explode(parts(F.col("_a"))).alias("_p")).join(b.select("_b", F.explode(parts(F.col("_b"))).alias("_p")), "_p")
+    # letters beyond those of the shorter value match nothing
+    near = near.where(2 * F.least(F.length("_a"), F.length("_b")) >= least * (F.length("_a") + F.length("_b"))).select("_a", "_b").distinct()
+    best = near.withColumn("_r", ratio("_a", "_b")).where(F.col("_r") >= least).groupBy("_a").agg(F.min_by(F.struct("_b", "_r"), F.struct(-F.col("_r"), F.col("_b"))).alias("_m"))
+    found = equal.unionByName(best.select("_a", F.col("_m._b").alias("_b"), F.col("_m._r").alias("_r")))
+    return found.select(F.col("_a").alias(left_col), F.col("_b").alias(right_col), F.col("_r").alias("ratio"))

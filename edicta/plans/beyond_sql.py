@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edicta.functions import text
+from edicta.operators import matching
 from edicta.plans import ingestion
 from edicta.plans.registry import Tables
 
@@ -30,3 +31,18 @@ def c10_act_kinds_all(t: Tables) -> DataFrame:
 def f9_cleaned_text_all(t: Tables) -> DataFrame:
     """The length of every text after the full cleaning."""
     return t.documents.where("text is not null").select("doc_id", F.length(text.cleaned(F.col("text"))).alias("n"))
+
+
+@query
+def f9_cleaned_texts(t: Tables) -> DataFrame:
+    """Every text after the full cleaning."""
+    return t.documents.where("text is not null").select("doc_id", text.cleaned(F.col("text")).alias("text"))
+
+
+@query
+def j8_best_ratio(t: Tables) -> DataFrame:
+    """The territory that each typed name is, or is most like by the ratio of matching blocks, from 0.72 on."""
+    typed = t.providencia_records.select(text.normalize_key(F.col("comuna")).alias("typed"))
+    names = t.communes_master.select(text.normalize_key(F.col("comuna_nombre")).alias("name"))
+    out = matching.best_ratio(typed, "typed", names, "name")
+    return out.select("typed", "name", F.round("ratio", 6).alias("ratio"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edicta.functions import dates, rules, text, urls
 from edicta.operators import dedup
+from edicta.operators import matching
 from edicta.plans.registry import Tables, query
 from edicta.sources import formats, sinks
 
@@ -90,7 +91,7 @@ def documents(t: Tables) -> DataFrame:
 
 @query("pred22_allow_list", "select record_id from providencia_records where cplt_code in (select cplt_code from organisms where ta_status = 'activo')")
 def allow_list(t: Tables) -> DataFrame:
-    return t.providencia_records.join(F.broadcast(t.organisms.where("ta_status = 'activo'").select("cplt_code")), "cplt_code", "left_semi").select("record_id")
+    return t.providencia_records.join(matching.sized(t.organisms.where("ta_status = 'activo'").select("cplt_code")), "cplt_code", "left_semi").select("record_id")
 
 
 @query("pred24_year_candidates", r"select record_id from providencia_records where regexp_matches(target_url, '/20(19|2[0-4])/') and regexp_matches(lower(tipo_acto), 'ordenanza|reglamento')")

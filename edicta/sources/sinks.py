@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def envelope(df: DataFrame, order: str) -> DataFrame:
-    """One row with the JSON envelope (count, records) of a small result, such as an aggregate."""
-    one = df.agg(F.struct(F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(F.struct(order, *(c for c in df.columns if c != order)))).alias("records")).alias("e"))
-    return one.select(F.to_json("e").alias("value"))
+def envelope(df: DataFrame, order: str, limit: int = 100_000) -> DataFrame:
+    """One row with the JSON envelope (count, records) of a small result, such as an aggregate; the job fails for over `limit` rows,
+    of which no more than one beyond the limit are brought together."""
+    few = df.limit(limit + 1)
+    one = few.agg(F.struct(F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(F.struct(order, *(c for c in df.columns if c != order)))).alias("records")).alias("e"))
+    fits = F.assert_true(F.col("e.count") <= limit, F.lit(f"over {limit} rows: write tables as files"))
+    return one.withColumn("_fits", fits).where("_fits is null").select(F.to_json("e").alias("value"))
 
 
 def assigned_js(json: Column, name: str) -> Column:
