@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edicta.functions.text import fold
@@ -124,8 +124,10 @@ def posterior(pattern: dict[str, str], share: float, m: dict, u: dict) -> float:
 
 
 def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: dates must not
-    contradict, and without a number on both sides the titles must be the same, figures included."""
+    """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: dates must not contradict;
+    without a number on both sides the titles must be the same, figures included; a number says which act it is only with a year, so
+    that without one a title must speak for it; and a row is one act: where its title names no subject, it goes with the records whose
+    date agrees best."""
     from edicta.session import cut
 
     levels = cut(compared(left, right), "levels")
@@ -134,4 +136,8 @@ def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> D
     share, m, u = estimate(patterns)
     scored = [(*(p[f] for f in fields), posterior(p, share, m, u)) for p, _ in patterns]
     table = levels.sparkSession.createDataFrame(scored, ", ".join(f"{f} string" for f in fields) + ", confidence double")
-    return levels.join(F.broadcast(table), fields).where((F.col("confidence") >= threshold) & (F.col("date") != "conflict") & ((F.col("number") == "equal") | (F.col("title") == "same") & F.col("figures"))).select("id", "rid", "confidence")
+    likely = levels.join(F.broadcast(table), fields).where(F.col("confidence") >= threshold)
+    numbered = F.col("number") == "equal"
+    likely = likely.where((F.col("date") != "conflict") & F.when(numbered, (F.col("date") != "missing") | (F.col("title") != "absent")).otherwise((F.col("title") == "same") & F.col("figures")))
+    rank = F.when(F.col("title") == "absent", F.when(F.col("date") == "near", 0).otherwise(1)).otherwise(0)
+    return likely.withColumn("_rank", rank).withColumn("_best", F.min(rank).over(Window.partitionBy("id"))).where("_rank = _best").select("id", "rid", "confidence")
