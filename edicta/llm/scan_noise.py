@@ -46,6 +46,8 @@ HYPHENS = "-¬\xad‐‑"
 TOKEN = re.compile(r"[\w@€]+")
 ROMAN = re.compile(r"[ivxlc]{1,7}", re.I)
 PAGE = re.compile(r"(?:p[áa@]g(?:ina)?s?|p|foja|fojas|hoja|folio|fs)\.? ?[\dlOo]{1,5}(?: ?(?:de|/) ?[\dlOo]{1,5})?|[\[(] ?\d{1,5} ?[\])]|\d{1,4} ?/ ?\d{1,4}|[-–—] ?\d{1,5} ?[-–—]|\d{1,4} de \d{1,4}", re.I)
+PAGE_MOST = 30  # characters; no notation of a page's number has more
+APART = re.compile(r"\S {3,}\S| [—·|] | / ")
 ARTICLE = re.compile(r"\s*(?:art[íi1lf]?c?[uii]*l?[o0]|art)\b", re.I)
 ROW = re.compile(r"\s*\w{3,12} \d{1,3}: ")
 LOWER = re.compile(r"(?<!\w)[a-záéíóúñü]{2,}(?!\w)")
@@ -95,15 +97,19 @@ def _alike(a: str, b: str) -> bool:
 
 def _stated(s: str) -> bool:
     """Shapes that only headers have: capitals throughout, or parts set apart by signs or wide spaces."""
-    letters = [x for x in s if x.isalpha()]
-    capitals = len(letters) >= 6 and sum(x.isupper() for x in letters) >= 0.8 * len(letters)
-    return capitals or bool(re.search(r"\S {3,}\S| [—·|] | / ", s))
+    if APART.search(s):
+        return True
+    if sum(map(str.islower, s)) > 0.2 * len(s):  # more than a fifth of the letters, then, whatever else there is
+        return False
+    letters = sum(map(str.isalpha, s))
+    return letters >= 6 and sum(map(str.isupper, s)) >= 0.8 * letters
 
 
 def page_numbers(lines: list[str]) -> set[int]:
     """Indexes of the lines that are only the page's number."""
-    found = {i for i, x in enumerate(lines) if PAGE.fullmatch(x.strip()) or ROMAN.fullmatch(x.strip())}
-    bare = [(i, int(x.strip())) for i, x in enumerate(lines) if re.fullmatch(r"\d{1,4}", x.strip())]
+    short = [(i, s) for i, x in enumerate(lines) if len(s := x.strip()) <= PAGE_MOST]
+    found = {i for i, s in short if PAGE.fullmatch(s) or ROMAN.fullmatch(s)}
+    bare = [(i, int(s)) for i, s in short if re.fullmatch(r"\d{1,4}", s)]
     at = {i for i, _ in bare}
     alone = [(i, n) for i, n in bare if i - 1 not in at and i + 1 not in at]
     # figures of tables stand together; pages rise by one, or by a few where a number was lost. The best chain so far that ends in each
