@@ -91,3 +91,20 @@ def best_ratio(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
     best = near.withColumn("_r", ratio("_a", "_b")).where(F.col("_r") >= least).groupBy("_a").agg(F.min_by(F.struct("_b", "_r"), F.struct(-F.col("_r"), F.col("_b"))).alias("_m"))
     found = equal.unionByName(best.select("_a", F.col("_m._b").alias("_b"), F.col("_m._r").alias("_r")))
     return found.select(F.col("_a").alias(left_col), F.col("_b").alias(right_col), F.col("_r").alias("ratio"))
+
+
+def contained_in(parts: DataFrame, part: str, wholes: DataFrame, whole: str, least: int = 3) -> DataFrame:
+    """(part, whole): the distinct texts of `least` letters or more that stand somewhere in another text, with the first such in order.
+    A text stands only where its rarest run of `least` letters does: an equality join on that run finds every pair."""
+    def runs(c: Column) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - least + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(least))))
+
+    b = wholes.select(F.col(whole).alias("_b")).where("_b is not null").distinct()
+    longest = b.agg(F.max(F.length("_b"))).first()[0] or 0  # longer texts stand in none
+    a = parts.select(F.col(part).alias("_a")).where(F.length("_a").between(least, longest)).distinct()
+    held = b.select("_b", F.explode(runs(F.col("_b"))).alias("_g"))
+    asked = a.select("_a", F.explode(runs(F.col("_a"))).alias("_g"))
+    often = held.join(asked.select("_g").distinct(), "_g", "left_semi").groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = asked.join(often, "_g", "left").groupBy("_a").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
+    hits = rarest.join(held, "_g").where(F.contains("_b", F.col("_a")))
+    return hits.groupBy("_a").agg(F.min("_b").alias("_b")).select(F.col("_a").alias(part), F.col("_b").alias(whole))

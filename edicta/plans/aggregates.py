@@ -195,6 +195,18 @@ def macro_rollup(t: Tables) -> DataFrame:
     return topic_scores(t).groupBy(macro_zone().alias("macro")).agg(F.count(F.lit(1)).alias("territories"), F.round(F.avg("score"), 4).alias("mean_score"), F.count_if(F.col("score") == 5).alias("complete"), F.count_if(F.col("score") == 0).alias("none"))
 
 
+@query("a17_zone_histograms", f"""
+select macro, g.score, count(s.comuna_nombre) as territories, count(s.comuna_nombre) filter (contains(matched, 'mascotas')) as mascotas, count(s.comuna_nombre) filter (contains(matched, 'participacion')) as participacion
+from (select distinct {_MACRO_SQL} as macro from communes_master) m cross join (select range::bigint as score from range(0, 6)) g left join (select *, {_MACRO_SQL} as zone from {SCORES}) s on s.zone = m.macro and s.score = g.score group by 1, 2""")
+def zone_histograms(t: Tables) -> DataFrame:
+    """Territories by score in each zone, zero-filled, and how many of them have two of the topics."""
+    scores = topic_scores(t).withColumn("macro", macro_zone())
+    n = scores.groupBy("macro", "score").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains("matched", F.lit("mascotas"))).alias("a"), F.count_if(F.contains("matched", F.lit("participacion"))).alias("b"))
+    grid = t.communes_master.select(macro_zone().alias("macro")).distinct().withColumn("score", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long"))))
+    out = grid.join(n, ["macro", "score"], "left")
+    return out.select("macro", "score", *(F.coalesce(c, F.lit(0)).alias(k) for k, c in (("territories", "n"), ("mascotas", "a"), ("participacion", "b"))))
+
+
 @query("a18_region_rollup", f"select region_id, count(*) as territories, round(avg(score), 4) as mean_score, round(sum(score)::double / (count(*) * 5), 4) as fulfilment from {SCORES} group by 1")
 def region_rollup(t: Tables) -> DataFrame:
     return topic_scores(t).groupBy("region_id").agg(F.count(F.lit(1)).alias("territories"), F.round(F.avg("score"), 4).alias("mean_score"), F.round(F.sum("score") / (F.count(F.lit(1)) * 5), 4).alias("fulfilment"))

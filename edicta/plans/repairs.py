@@ -250,3 +250,24 @@ def gaps(t: Tables, national: int = 15, municipal: int = 5, recent: int = 3) ->
     p = t.providencia_records.groupBy("comuna").agg(F.count(F.lit(1)).alias("m"), F.count_if(dates.recent(F.col("fecha"))).alias("r"))
     none = lambda c: F.coalesce(c, F.lit(0))
     return g.join(p, "comuna", "left").where((F.col("n") >= national) & (none("m") <= municipal) & (none("r") <= recent)).select("comuna")
+
+
+_ALL = ["communes_master", "organisms", "ordenanzas", "providencia_records", "documents", "subject_areas", "mix_targets"]
+
+
+@query("s6_all_tables", " union all ".join(f"select '{n}' as name, (select count(*) from {n}) as rows, (select count(*) from information_schema.columns where table_name = '{n}') as columns" for n in _ALL))
+def all_tables(t: Tables) -> DataFrame:
+    """Every table of the domain as a catalog lists it: name, rows, columns."""
+    out = None
+    for n in _ALL:
+        df = getattr(t, n)
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+@query("k9_documents", "select doc_id, source, coalesce(materia_id, '') as materia, coalesce(length(text), 0)::int as chars, coalesce(extraction_method, '') as method, coalesce(sha256(text), '') as sha from documents")
+def manifest_documents(t: Tables) -> DataFrame:
+    """The manifest's list: one row a document."""
+    sha = F.sha2(F.encode("text", "UTF-8"), 256)
+    return t.documents.select("doc_id", "source", F.coalesce("materia_id", F.lit("")).alias("materia"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), F.coalesce("extraction_method", F.lit("")).alias("method"), F.coalesce(sha, F.lit("")).alias("sha"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from edicta.functions import text as texts
 from edicta.operators import matching
 from edicta.plans.registry import Tables, query
 
@@ -43,3 +44,47 @@ def territory_profile(t: Tables) -> DataFrame:
     per = t.providencia_records.groupBy("comuna").agg(F.count(F.lit(1)).alias("n"), has("medio_ambiente").alias("e"), has("convivencia_ruidos").alias("r"))
     out = asked.join(per, "comuna", "left")
     return out.select("comuna", F.coalesce("n", F.lit(0)).alias("acts"), F.coalesce("e", F.lit(False)).alias("environment"), F.coalesce("r", F.lit(False)).alias("noise"))
+
+
+#: The routes of questions by words in them, in order; ' + ' joins words that must come together.
+KNOWN = [
+    ("plans", ["placma", "plan + medio ambiente", "scam"]),
+    ("duties", ["obligatoria", "obligacion", "por ley", "cuales son las 6", "deben tener", "mandato legal", "mandato", "marco legal", "exigid"]),
+    ("fines", ["multa", "jpl", "juzgado", "sancion", "utm"]),
+]
+SUBJECTS = [("wetlands", ["humedal"]), ("noise", ["ruido", "seguridad"])]
+
+
+def _routed(c, rules):
+    out = None
+    for name, words in rules:
+        hit = F.lit(False)
+        for w in words:
+            both = F.lit(True)
+            for x in w.split(" + "):
+                both &= F.contains(c, F.lit(x))
+            hit |= both
+        out = F.when(hit, name) if out is None else out.when(hit, name)
+    return out
+
+
+def _routed_sql(rules) -> str:
+    return " ".join("when " + " or ".join("(" + " and ".join(f"contains(d.q, '{x}')" for x in w.split(" + ")) + ")" for w in words) + f" then '{name}'" for name, words in rules)
+
+
+@query("c17_routes", rf"""
+with d as (select doc_id, trim(lower(strip_accents(text))) as q, ' ' || trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' as t from documents where source = 'consultas_vecinales' and text is not null),
+n as (select comuna_nombre, trim(regexp_replace(lower(comuna_nombre), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) as k from communes_master),
+h as (select doc_id, arg_max(comuna_nombre, (length(k), k)) as comuna from d, n where contains(t, ' ' || k || ' ') group by 1),
+x as (select distinct trim(lower(strip_accents(titulo))) as titulo from providencia_records where titulo is not null),
+s as (select distinct q from d where length(q) >= 3 and exists (select 1 from x where contains(x.titulo, d.q)))
+select d.doc_id, case {_routed_sql(KNOWN)} when h.comuna is not null then 'territory' {_routed_sql(SUBJECTS)} when s.q is not null then 'titles' else 'none' end as route, h.comuna from d left join h on h.doc_id = d.doc_id left join s on s.q = d.q""")
+def routes(t: Tables) -> DataFrame:
+    """Where each resident's question goes: what is known of plans, duties and fines, then the territory it names, then two subjects, then
+    titles that hold it, then nowhere."""
+    d = t.documents.where("source = 'consultas_vecinales' and text is not null").select("doc_id", "text", texts.without_marks(F.col("text")).alias("q"))
+    named = matching.longest_contained(d, "doc_id", "text", t.communes_master.select(F.col("comuna_nombre").alias("comuna")), "comuna")
+    titles = t.providencia_records.select(texts.without_marks(F.col("titulo")).alias("whole"))
+    asked = d.join(named, "doc_id", "left").withColumn("route", F.coalesce(_routed(F.col("q"), KNOWN), F.when(F.col("comuna").isNotNull(), "territory"), _routed(F.col("q"), SUBJECTS)))
+    held = matching.contained_in(asked.where("route is null"), "q", titles, "whole")
+    return asked.join(held, "q", "left").select("doc_id", F.coalesce("route", F.when(F.col("whole").isNotNull(), "titles"), F.lit("none")).alias("route"), "comuna")

@@ -10,11 +10,12 @@ DATA = os.environ.get("EDICTA_DATA", "/root/testdata")
 
 @pytest.fixture(scope="session")
 def spark():
-    from edicta.session import local_session
+    from edicta.session import discard, local_session
 
     s = local_session("*", 8)
     s.sparkContext.setLogLevel("ERROR")
-    return s
+    yield s
+    discard(s)
 
 
 @pytest.fixture(scope="session")

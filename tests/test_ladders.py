@@ -118,3 +118,12 @@ def test_a_folder_of_the_machine_serves_local_sessions_only(spark, monkeypatch):
         session.shared_dir(Far)
     kept = session.cut(spark.range(3), "kept")
     assert kept.count() == 3 and session.discard(spark) >= 1 and session.discard(spark) == 0
+
+
+def test_contained_in_finds_every_text(spark):
+    rng = random.Random(5)
+    wholes = ["".join(rng.choice("abc ") for _ in range(rng.randint(3, 30))) for _ in range(80)] + ["", None]
+    parts = ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 6))) for _ in range(200)] + [None, "", "x" * 5000, "ab"]
+    got = {r.p: r.w for r in matching.contained_in(spark.createDataFrame([(x,) for x in parts], "p string"), "p", spark.createDataFrame([(x,) for x in wholes], "w string"), "w").collect()}
+    want = {p: min(w for w in wholes if w and p in w) for p in parts if p and len(p) >= 3 and any(w and p in w for w in wholes)}
+    assert got == want and want
