@@ -113,5 +113,5 @@ def ascii_folded(c: Column) -> Column:
 
 
 def without_marks(c: Column) -> Column:
-    """Lower case without accents, composed or combining; punctuation and other signs stay as they are, trimmed."""
-    return F.trim(F.lower(_translate(c, ACCENTS, MARKS)))
+    """Lower case without accents, composed or combining; punctuation and other signs stay as they are, white space of any kind trimmed."""
+    return F.regexp_replace(F.lower(_translate(c, ACCENTS, MARKS)), f"^{WHITE}|{WHITE}$", "")

@@ -21,6 +21,10 @@ def ascii_sql(c: str) -> str:
     return f"trim(lower(regexp_replace(strip_accents({c}), '[^\\x00-\\x7F]', '', 'g')))"
 
 
+#: text.without_marks in SQL.
+UNMARKED = "regexp_replace(lower(strip_accents({0})), '^" + text.WHITE.replace("{", "{{").replace("}", "}}") + "|" + text.WHITE.replace("{", "{{").replace("}", "}}") + "$', '', 'g')"
+
+
 _CASES = " ".join(f"when materia = '{k}' then '{v}'" for k, v in sets.AXIS_OF_LABEL.items())
 
 
@@ -127,7 +131,7 @@ def natures(t: Tables) -> DataFrame:
     return t.providencia_records.select("record_id", sets.first_list(c, sets.NATURES, "ordenanza_base").alias("nature"), kind.alias("kind"), guess.alias("preliminary"))
 
 
-@query("f6_ascii_names", f"select id, {ascii_sql('comuna_nombre')} as plain, trim(lower(strip_accents(comuna_nombre))) as unmarked from ordenanzas where comuna_nombre is not null")
+@query("f6_ascii_names", f"select id, {ascii_sql('comuna_nombre')} as plain, {UNMARKED.format('comuna_nombre')} as unmarked from ordenanzas where comuna_nombre is not null")
 def ascii_names(t: Tables) -> DataFrame:
     """Typed names in ASCII, and without accents only."""
     c = F.col("comuna_nombre")

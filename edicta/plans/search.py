@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edicta.functions import text as texts
 from edicta.operators import matching
+from edicta.plans.classifiers import UNMARKED
 from edicta.plans.registry import Tables, query
 
 _T = r"(select doc_id, ' ' || trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ' as t from documents where source in ('consultas_vecinales', 'prensa_local', 'actas_concejo') and text is not null)"
@@ -73,10 +74,10 @@ def _routed_sql(rules) -> str:
 
 
 @query("c17_routes", rf"""
-with d as (select doc_id, trim(lower(strip_accents(text))) as q, ' ' || trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' as t from documents where source = 'consultas_vecinales' and text is not null),
+with d as (select doc_id, {UNMARKED.format('text')} as q, ' ' || trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' as t from documents where source = 'consultas_vecinales' and text is not null),
 n as (select comuna_nombre, trim(regexp_replace(lower(comuna_nombre), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) as k from communes_master),
 h as (select doc_id, arg_max(comuna_nombre, (length(k), k)) as comuna from d, n where contains(t, ' ' || k || ' ') group by 1),
-x as (select distinct trim(lower(strip_accents(titulo))) as titulo from providencia_records where titulo is not null),
+x as (select distinct {UNMARKED.format('titulo')} as titulo from providencia_records where titulo is not null),
 s as (select distinct q from d where length(q) >= 3 and exists (select 1 from x where contains(x.titulo, d.q)))
 select d.doc_id, case {_routed_sql(KNOWN)} when h.comuna is not null then 'territory' {_routed_sql(SUBJECTS)} when s.q is not null then 'titles' else 'none' end as route, h.comuna from d left join h on h.doc_id = d.doc_id left join s on s.q = d.q""")
 def routes(t: Tables) -> DataFrame:
