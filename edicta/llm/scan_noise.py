@@ -151,7 +151,7 @@ def _signs(s: str) -> list[int]:
 
 
 def grouped(shapes: dict[int, str]) -> dict[int, list[int]]:
-    """For each line, the lines that look like it, itself included: equal shapes at once, others by the first shape they are alike to.
+    """For each line, the lines that look like it, itself included: equal shapes at once, others by the most frequent shape they are alike to.
     A shape is compared with those of which it lacks few enough signs, found for all at once on bits."""
     lines_of: dict[str, list[int]] = {}
     for i, s in shapes.items():
@@ -159,7 +159,7 @@ def grouped(shapes: dict[int, str]) -> dict[int, list[int]]:
     group: dict[str, list[int]] = {}
     firsts: list[str] = []
     bits, size = np.zeros((16, 8), np.uint64), np.zeros(16, np.int64)
-    for s, own in lines_of.items():
+    for s, own in sorted(lines_of.items(), key=lambda x: -len(x[1])):  # the right spelling of a header recurs most
         n, sign = len(firsts), np.array(_signs(s), np.uint64)
         near = np.flatnonzero(np.abs(size[:n] - len(s)) <= 3) if len(s) >= 8 else []
         if len(near):
