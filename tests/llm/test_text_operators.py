@@ -196,7 +196,8 @@ def test_confusions_are_estimated(spark):
     model = scan_noise.language_model(spark.createDataFrame(rows, "id long, texto string"), "texto")
     assert 0.001 < model.odds["rn", "m"] < 0.004 and model.odds["n", "u"] < 0.001  # 20 of about 12,000 m
     assert model.codes == {"exp"} and not scan_noise._odd("exp1", model.codes) and scan_noise._odd("públic0", model.codes)
-    assert model.words["rnulta"] < 1 and model.words["multa"] == 1980
+    own = 20 * 20 * scan_noise.OWN / (1980 * model.odds["rn", "m"] + 20 * scan_noise.OWN)
+    assert abs(model.words["rnulta"] - own) < 1e-9 and own < 10 and model.words["multa"] == 1980
 
 
 def test_viterbi_is_the_best_path():
