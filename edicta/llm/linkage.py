@@ -1,8 +1,13 @@
 """Matching entities across sources without keys (problem 5): probabilistic record linkage of acts.
 
 Both tables get the same partial attributes (commune, number, date, subject of the title). Several blocking passes propose pairs; each
-pair is described by agreement levels; the levels' counts (at most a few dozen patterns, whatever the size of the data) feed an
-expectation-maximisation of match and non-match probabilities, and the posterior of a pattern is the confidence of its pairs.
+pair is described by agreement levels; the levels' counts (at most some thousand patterns, whatever the size of the data) feed the
+estimates, and the posterior of a pattern is the confidence of its pairs.
+
+Chance agreements grow with the square of the rows of a commune, acts with their number, so that no estimate holds for all communes: the
+date is taken together with the crowd, the size class of the commune. Pairs with equal numbers are judged by expectation-maximisation.
+Pairs without a number have met by their titles, so that titles say no more of them than that; they are judged by what their dates have
+beyond chance, of which the days behind the longest delay of a publication are the measure.
 
 Defined cases: a missing attribute is a level of its own; rows fetched or captured more than once give one pair each; known numbers
 that differ exclude a pair; null titles and titles that only name kind, number and place are 'absent'; empty tables give no pairs.
@@ -26,6 +31,12 @@ LEVELS = {"number": ("equal", "missing", "differ"), "date": ("near", "year", "mi
 START_M = {"number": (0.85, 0.14, 0.01), "date": (0.70, 0.15, 0.10, 0.05), "title": (0.70, 0.10, 0.18, 0.02), "commune": (0.95, 0.05)}
 START_U = {"number": (0.10, 0.10, 0.80), "date": (0.05, 0.25, 0.10, 0.60), "title": (0.15, 0.10, 0.15, 0.60), "commune": (0.90, 0.10)}
 MOST_DAYS, THRESHOLD = 75, 0.5
+#: First days of the classes of lags between near dates, the last ending at MOST_DAYS, and days behind it that measure chance.
+LAGS, CHANCE_DAYS = (-2 * MOST_DAYS, -105, 0, 15, 45), 15
+#: Pairs that the starting values weigh as much as, where titles of non-matches are counted.
+ANCHOR = 10
+#: What a pattern is.
+FIELDS = ("number", "date", "lag", "late", "crowd", "title", "commune", "figures")
 
 
 def subject_key(folded: Column) -> Column:
@@ -76,7 +87,8 @@ def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def compared(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(id, rid, number, date, title, commune, figures): agreement levels of the proposed pairs."""
+    """(id, rid, number, date, title, commune, figures, lag, late, crowd): agreement levels of the proposed pairs. lag: class of near dates
+    in LAGS, -1 for dates of the CHANCE_DAYS; late: of the right row; crowd: class of the number of right rows of the commune."""
     b = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
     both = pairs(left, right).join(left, "id").join(b, F.col("rid") == F.col("r_id"))
     days = F.datediff(F.col("day").try_cast("date"), F.col("r_day").try_cast("date"))
@@ -97,23 +109,49 @@ def compared(left: DataFrame, right: DataFrame) -> DataFrame:
     number = F.when(F.col("num").isNull() | F.col("r_num").isNull(), "missing").when(F.col("num") == F.col("r_num"), "equal").otherwise("differ")
     commune = F.when(F.col("commune").isNull() | F.col("r_commune").isNull(), "missing").when(F.col("commune") == F.col("r_commune"), "equal").otherwise("differ")
     figures = F.regexp_replace("s", "[^0-9]+", " ") == F.regexp_replace("r_s", "[^0-9]+", " ")
-    return both.select("id", "rid", number.alias("number"), date.alias("date"), title.alias("title"), commune.alias("commune"), figures.alias("figures")).where("commune != 'differ' and number != 'differ'")
-
-
-def estimate(patterns: list[tuple[dict[str, str], int]], rounds: int = 40) -> tuple[float, dict, dict]:
-    """EM over pattern counts: share of matches, and the level probabilities of matches and non-matches."""
-    m = {f: dict(zip(LEVELS[f], START_M[f], strict=True)) for f in LEVELS}
-    u = {f: dict(zip(LEVELS[f], START_U[f], strict=True)) for f in LEVELS}
+    lag = F.when(date == "near", sum((days >= d).cast("int") for d in LAGS) - 1).when(precise & days.between(MOST_DAYS + 1, MOST_DAYS + CHANCE_DAYS), -1)
+    crowds = right.where("commune is not null").groupBy(F.col("commune").alias("_c")).agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) / 2).cast("int").alias("crowd"))
+    both = both.select("id", "rid", number.alias("number"), date.alias("date"), title.alias("title"), commune.alias("commune"), figures.alias("figures"), lag.alias("lag"), F.col("r_late").alias("late"), F.coalesce("commune", "r_commune").alias("_c")).where("commune != 'differ' and number != 'differ'")
+    return both.join(crowds, "_c", "left").drop("_c").fillna(-1, ["crowd"])
+
+
+def estimate(patterns: list[tuple[dict[str, str], int]], rounds: int = 40, anchored: bool = False) -> tuple[float, dict, dict]:
+    """EM over pattern counts: share of matches, and the level probabilities of matches and non-matches. A level may be parted into
+    classes ('near/3'), which start with equal parts of its probability. anchored (dates are 'date/lag/late/crowd'): the titles of
+    non-matches are those of pairs whose dates conflict, those of matches what near dates have beyond chance, and stay; else a class that
+    is larger than that of the matches can take its place."""
+    seen = {f: sorted({*LEVELS[f], *(p[f] for p, _ in patterns)} - {p[f].split("/")[0] for p, _ in patterns if "/" in p[f]}) for f in LEVELS}
+
+    def start(table: dict) -> dict:
+        of = {f: dict(zip(LEVELS[f], table[f], strict=True)) for f in LEVELS}
+        return {f: {x: of[f][x.split("/")[0]] / sum(y.split("/")[0] == x.split("/")[0] for y in xs) for x in xs} for f, xs in seen.items()}
+
+    m, u = start(START_M), start(START_U)
+    if anchored:
+        by = {(p["date"], p["title"]): n for p, n in patterns}
+        apart, beyond = dict.fromkeys(seen["title"], 0.0), dict.fromkeys(seen["title"], 0.0)
+        for (d, t), n in by.items():
+            date, lag, late, crowd = d.split("/")
+            if date == "conflict":
+                apart[t] += n
+            elif date == "near":
+                beyond[t] += n
+            if lag == "-1":  # as many are expected a day where dates are near
+                beyond[t] -= n / CHANCE_DAYS * sum(_days(x, late == "1") for x in range(len(LAGS)))
+        for table, counted in ((u, apart), (m, {t: max(n, 0) for t, n in beyond.items()})):
+            table["title"] = {t: (counted[t] + ANCHOR * v) / (sum(counted.values()) + ANCHOR) for t, v in table["title"].items()}
     share, total = 0.3, sum(n for _, n in patterns) or 1
     for _ in range(rounds):
         weight = [posterior(p, share, m, u) for p, _ in patterns]
         mass = sum(w * n for w, (_, n) in zip(weight, patterns, strict=True))
         for table, part in ((m, lambda w: w), (u, lambda w: 1 - w)):
             whole = sum(part(w) * n for w, (_, n) in zip(weight, patterns, strict=True))
-            for f, levels in LEVELS.items():
+            for f, levels in seen.items():
+                if anchored and f == "title":
+                    continue
                 for level in levels:  # a half count each: a level that was not seen stays possible
-                    seen = sum(part(w) * n for w, (p, n) in zip(weight, patterns, strict=True) if p[f] == level)
-                    table[f][level] = (seen + 0.5) / (whole + 0.5 * len(levels))
+                    times = sum(part(w) * n for w, (p, n) in zip(weight, patterns, strict=True) if p[f] == level)
+                    table[f][level] = (times + 0.5) / (whole + 0.5 * len(levels))
         share = min(max(mass / total, 1e-6), 1 - 1e-6)
     return share, m, u
 
@@ -123,6 +161,56 @@ def posterior(pattern: dict[str, str], share: float, m: dict, u: dict) -> float:
     return 1 / (1 + math.exp(-max(min(odds, 500), -500)))
 
 
+def _days(lag: int, late: bool) -> int:
+    """How many days a class of lags has."""
+    first, after = LAGS[lag] if late else max(LAGS[lag], -2), (*LAGS[1:], MOST_DAYS + 1)[lag]
+    return max(0, after - first)
+
+
+def unnumbered(counts: dict[tuple, int], dated: dict[str, float]) -> dict[tuple, float]:
+    """Confidence of pairs with the same title and no number, by (date, lag, late, crowd). counts: such pairs, also those of dates that
+    conflict; dated: shares of the levels of dates among matches. Near dates are matches as far as they are more than the CHANCE_DAYS let
+    expect; of imprecise ones as many are matches as there are for so many near ones."""
+    out, near = {}, {}
+    for (date, lag, late, crowd), n in counts.items():
+        if date == "near":
+            chance = counts.get(("conflict", -1, late, crowd), 0) / CHANCE_DAYS * _days(lag, late)
+            out[date, lag, late, crowd] = (max(n - chance, 0) + 0.5) / (n + 1)
+            near[crowd] = near.get(crowd, 0) + max(n - chance, 0)
+    for (date, lag, late, crowd), n in counts.items():
+        if date in ("year", "missing"):
+            all_ = sum(k for (d, _, _, c), k in counts.items() if d == date and c == crowd)
+            out[date, lag, late, crowd] = min(1.0, (near.get(crowd, 0) * dated[date] / dated["near"] + 0.5) / (all_ + 0.5))
+    return out
+
+
+def confidences(rows: list) -> list[tuple]:
+    """(number, date, lag, late, crowd, title, commune, figures, confidence) of the patterns. rows: the same, with count."""
+    # pairs without a commune have met by their titles, which therefore are classes of their own
+    of = lambda r: {"number": "equal", "date": f"{r['date']}/{-2 if r['lag'] is None else r['lag']}/{r['late']:d}/{r['crowd']}", "title": f"{r['title']}/{r['commune']}", "commune": r["commune"]}
+    numbered: dict[tuple, int] = {}
+    for r in rows:
+        if r["number"] == "equal":
+            k = tuple(of(r).items())
+            numbered[k] = numbered.get(k, 0) + r["count"]
+    share, m, u = estimate([(dict(k), n) for k, n in numbered.items()], anchored=True)
+    dated = {d: sum(x for k, x in m["date"].items() if k.split("/")[0] == d) for d in LEVELS["date"]}
+    same: dict[tuple, int] = {}
+    for r in rows:
+        if r["number"] == "missing" and r["title"] == "same" and r["figures"]:
+            k = (r["date"], r["lag"], r["late"], r["crowd"])
+            same[k] = same.get(k, 0) + r["count"]
+    loose = unnumbered(same, dated)
+    out = []
+    for r in rows:
+        if r["number"] == "equal":
+            c = posterior(of(r), share, m, u)
+        else:
+            c = loose.get((r["date"], r["lag"], r["late"], r["crowd"]), 0.0) if r["title"] == "same" and r["figures"] else 0.0
+        out.append((*(r[f] for f in FIELDS), c))
+    return out
+
+
 def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(id, rid, confidence) of the pairs whose posterior reaches the threshold. An exact check follows: dates must not contradict;
     without a number on both sides the titles must be the same, figures included; a number says which act it is only with a year, so
@@ -131,12 +219,12 @@ def linked(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> D
     from edicta.session import cut
 
     levels = cut(compared(left, right), "levels")
-    fields = list(LEVELS)
-    patterns = [({f: r[f] for f in fields}, r["count"]) for r in levels.groupBy(*fields).count().collect()]
-    share, m, u = estimate(patterns)
-    scored = [(*(p[f] for f in fields), posterior(p, share, m, u)) for p, _ in patterns]
-    table = levels.sparkSession.createDataFrame(scored, ", ".join(f"{f} string" for f in fields) + ", confidence double")
-    likely = levels.join(F.broadcast(table), fields).where(F.col("confidence") >= threshold)
+    scored = confidences(levels.groupBy(*FIELDS).count().collect())
+    table = levels.sparkSession.createDataFrame(scored, "number string, date string, lag int, late boolean, crowd int, title string, commune string, figures boolean, confidence double").select(*(F.col(f).alias(f"_{f}") for f in FIELDS), "confidence")
+    same = F.lit(True)
+    for f in FIELDS:
+        same &= F.col(f).eqNullSafe(F.col(f"_{f}"))
+    likely = levels.join(F.broadcast(table), same).where(F.col("confidence") >= threshold)
     numbered = F.col("number") == "equal"
     likely = likely.where((F.col("date") != "conflict") & F.when(numbered, (F.col("date") != "missing") | (F.col("title") != "absent")).otherwise((F.col("title") == "same") & F.col("figures")))
     rank = F.when(F.col("title") == "absent", F.when(F.col("date") == "near", 0).otherwise(1)).otherwise(0)

@@ -208,6 +208,28 @@ def test_linkage_over_the_turn_of_the_year(spark):
     assert {(r.id, r.rid) for r in linkage.compared(a.withColumn("num", F.lit(None).cast("int")), b).where("date = 'near'").collect()} == want
 
 
+def test_linkage_in_a_crowded_commune(spark):
+    """However many pairs agree by chance, acts with equal numbers and titles, and titles alone where dates say it, are found."""
+    rng = random.Random(11)
+    left, right, want = [], [], {"equal": set(), "missing": set()}
+    for i in range(1200):
+        day = datetime.date(2018, 1, 1) + datetime.timedelta(rng.randrange(1400))
+        late = day + datetime.timedelta(rng.randrange(12))
+        num, s = rng.randint(1, 30), f"{rng.choice(['ferias libres', 'ruidos molestos', 'aseo ornato', 'tenencia mascotas'])} boldo palmas {rng.choice(['norte', 'sur', 'oriente', 'poniente', 'centro', 'laguna', 'quebrada', 'estero', 'puerto', 'bosque', 'molino', 'cantera'])}"
+        lone = rng.random() < 0.3
+        row = lambda key, n, d, s: (key, "A", n, str(d), str(d)[:7], d.year, False, s)
+        left.append(row(i, num, late, s if rng.random() < 0.8 else ""))
+        right.append(row(10_000 + i, None if lone else num, day, s))
+        if left[-1][-1]:
+            want["missing" if lone else "equal"].add((i, 10_000 + i))
+    schema = "id long, commune string, num int, day string, month string, year int, late boolean, s string"
+    rows = linkage.linked(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()
+    got = {(r.id, r.rid) for r in rows}
+    assert len(want["equal"] & got) >= 0.99 * len(want["equal"])
+    assert len(want["missing"] & got) >= 0.95 * len(want["missing"])
+    assert len((want["equal"] | want["missing"]) & got) >= 0.5 * len(got)
+
+
 def test_em_separates_patterns():
     match, other = {"number": "equal", "date": "near", "title": "same", "commune": "equal"}, {"number": "differ", "date": "conflict", "title": "differ", "commune": "equal"}
     share, m, u = linkage.estimate([(match, 300), (other, 700)])
