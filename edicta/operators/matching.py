@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edicta.session import cut
+
 #: A side is sent to every task only up to this many rows; above, the same rows come from a shuffle join.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -104,7 +106,12 @@ def contained_in(parts: DataFrame, part: str, wholes: DataFrame, whole: str, lea
     a = parts.select(F.col(part).alias("_a")).where(F.length("_a").between(least, longest)).distinct()
     held = b.select("_b", F.explode(runs(F.col("_b"))).alias("_g"))
     asked = a.select("_a", F.explode(runs(F.col("_a"))).alias("_g"))
-    often = held.join(asked.select("_g").distinct(), "_g", "left_semi").groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = asked.join(often, "_g", "left").groupBy("_a").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
-    hits = rarest.join(held, "_g").where(F.contains("_b", F.col("_a")))
+    # runs are counted where they lie; a text with a run that no other has stands in none
+    often = held.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = asked.join(often, "_g", "left").groupBy("_a").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"), F.min(F.coalesce("_n", F.lit(0))).alias("_n")).where("_n > 0")
+    # written, so that its size is known: the exploded texts are never sent to the driver (Spark takes them for as small as the table),
+    # and only those with a wanted run are shuffled where the wanted ones are too many to be sent
+    rarest = cut(rarest.select("_a", "_g"), "rarest")
+    wanted = held.join(sized(rarest.select("_g").distinct()), "_g", "left_semi")
+    hits = wanted.hint("merge").join(sized(rarest), "_g").where(F.contains("_b", F.col("_a")))
     return hits.groupBy("_a").agg(F.min("_b").alias("_b")).select(F.col("_a").alias(part), F.col("_b").alias(whole))

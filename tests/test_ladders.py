@@ -1,6 +1,7 @@
 """Ladders, rule sets, merges, ratios and parts: defined cases on small tables, and brute force."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -127,3 +128,15 @@ def test_contained_in_finds_every_text(spark):
     got = {r.p: r.w for r in matching.contained_in(spark.createDataFrame([(x,) for x in parts], "p string"), "p", spark.createDataFrame([(x,) for x in wholes], "w string"), "w").collect()}
     want = {p: min(w for w in wholes if w and p in w) for p in parts if p and len(p) >= 3 and any(w and p in w for w in wholes)}
     assert got == want and want
+
+
+def test_exploded_texts_are_never_broadcast(spark):
+    """However small Spark takes the exploded texts for, only what was asked is sent to all tasks."""
+    from edicta import session
+
+    parts = spark.createDataFrame([("aseo",), ("ruidos",), ("zzz",)], "p string")
+    wholes = session.cut(spark.createDataFrame([(f"ordenanza de {x} {i}",) for i in range(50) for x in ("aseo", "ruidos")], "w string"), "wholes")
+    got = matching.contained_in(parts, "p", wholes, "w")
+    plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert [x for x in re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[([^\]]*)", plan) if "_b#" in x] == []
+    assert {r.p: r.w for r in got.collect()} == {"aseo": "ordenanza de aseo 0", "ruidos": "ordenanza de ruidos 0"}
