@@ -240,6 +240,16 @@ def test_em_separates_patterns():
 # -- subjects (problem 3)
 
 
+def test_candidates_are_pairs_of_numbers(spark):
+    """Similar clauses are those of brute force, and their candidates are shuffled without their texts."""
+    texts = ["ferias libres", "ferias libre", "feriaas libres", "ruidos molestos", "ruidos molestos nocturnos", "aseo"]
+    nodes = spark.createDataFrame([(x,) for x in texts], "clause string")
+    got = subjects.similar(nodes, nodes)
+    assert "keys=[clause#" not in got._jdf.queryExecution().executedPlan().toString()
+    tri = lambda x: {f" {x} "[i : i + 3] for i in range(len(x))}
+    assert {(r.clause, r.near) for r in got.collect()} == {(x, y) for x in texts for y in texts if x != y and len(tri(x) & tri(y)) >= subjects.SIMILAR * len(tri(y))}
+
+
 def test_subjects(spark):
     areas = spark.createDataFrame([("ruido",), ("aseo",)], "area string")
     rows = [(i, "ordenanza n° 5: regula materias de ruidos molestos y emisiones sonoras", None, ["ruido"] if i % 5 else ["aseo"]) for i in range(10)]
